@@ -1,0 +1,24 @@
+"""Bounded list rows.
+
+A collection document that lists all members of a group is one row while the
+group fits a page. A larger group gives several rows, numbered by ``page``, so
+no task ever holds a whole popular tag or speaker; nothing is dropped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Members of one list row; at 20 bytes an id a full page is about 2 MB.
+PAGE_SIZE = 100_000
+
+
+def page_count(size: Column, page_size: int = PAGE_SIZE) -> Column:
+    """Rows needed for a group of ``size`` members, at least one."""
+    return F.greatest(F.ceil(size / F.lit(page_size)), F.lit(1)).cast("int")
+
+
+def page_of(pages: Column, *member: Column) -> Column:
+    """The page of a member: its hash, so that it depends on nothing else."""
+    return F.when(pages == 1, 0).otherwise(F.pmod(F.xxhash64(*member), pages)).cast("int")
