@@ -71,7 +71,8 @@ def clean_related(related: DataFrame) -> DataFrame:
 
 def _distinct_pairs(df: DataFrame, **names: str) -> DataFrame:
     columns = [F.col(old).alias(new) for old, new in names.items()]
-    return df.select(*columns).dropna().distinct()
+    present = [F.col(new).isNotNull() for new in names.values()]
+    return df.select(*columns).where(present[0] & present[1]).distinct()
 
 
 def talk_profiles(talks: DataFrame, tags: DataFrame) -> DataFrame:

@@ -42,6 +42,11 @@ def _smallest(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Da
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
+def _best(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The ``n`` best candidates per key: most shared tags, then smallest id."""
+    return _smallest(df, keys, [F.desc("shared"), F.asc("candidate")], n)
+
+
 def common_tag_pairs(
     tags: DataFrame, k: int = MAX_RECOMMENDATIONS, max_width: int = MAX_WIDTH
 ) -> DataFrame:
@@ -50,87 +55,102 @@ def common_tag_pairs(
     ``tags`` holds distinct (video_id, tag) rows. Gives source_video_id,
     candidate_video_id, common_tag_count.
     """
-    wide = (
-        tags.groupBy("video_id")
-        .agg(F.count("*").alias("width"))
-        .where(F.col("width") > max_width)
-        .select("video_id")
+    return partner_lists(tags, k, max_width).select(
+        F.col("video_id").alias("source_video_id"), F.inline("partners")
     )
-    narrow = tags.join(wide, "video_id", "left_anti")
-    tag_sets = _tag_sets(narrow, _tag_heads(tags, k + 1), k + 1)
 
-    found = (
-        _one_tag_partners(tag_sets)
-        .unionByName(_two_tag_partners(tag_sets, k + 1))
-        .unionByName(_wide_partners(tags, narrow, wide, k + 1))
+
+def partner_lists(
+    tags: DataFrame, k: int = MAX_RECOMMENDATIONS, max_width: int = MAX_WIDTH
+) -> DataFrame:
+    """``common_tag_pairs`` with one row per talk: video_id, partners, best first."""
+    uses = tags.groupBy("tag").agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
+    shared_tags = tags.join(uses, "tag")
+    met = (
+        _two_tag_partners(shared_tags, k + 1, max_width)
+        .unionByName(_wide_partners(tags, shared_tags, k + 1, max_width))
         .where(F.col("video_id") != F.col("candidate"))
-    )
-    # A talk has a bounded number of rows here, so one shuffle on the talk
-    # serves both the maximum and the ranking.
-    counted = (
-        found.repartition("video_id")
         .groupBy("video_id", "candidate")
         .agg(F.max("shared").alias("shared"))
     )
-    best = _smallest(counted, ["video_id"], [F.desc("shared"), F.asc("candidate")], k)
-    return best.select(
-        F.col("video_id").alias("source_video_id"),
-        F.col("candidate").alias("candidate_video_id"),
-        F.col("shared").alias("common_tag_count"),
+    # Both lists are bounded per talk and keyed by it, so they merge as arrays.
+    counted = F.struct((-F.col("shared")).alias("n"), "candidate")
+    extras = (
+        _best(met, ["video_id"], k).groupBy("video_id").agg(F.collect_list(counted).alias("extra"))
+    )
+    seen = F.array_append(F.coalesce(F.col("extra.candidate"), F.array()), F.col("video_id"))
+    ones = F.transform(
+        F.array_except("head", seen),
+        lambda c: F.struct(F.lit(-1).cast("bigint").alias("n"), c.alias("candidate")),
+    )
+    best_first = F.array_sort(F.concat(F.coalesce("extra", F.array()), ones))
+    return (
+        _talk_heads(tags, uses, k + 1, max_width)
+        .join(extras, "video_id", "left")
+        .select(
+            "video_id",
+            F.transform(
+                F.slice(best_first, 1, k),
+                lambda e: F.struct(
+                    e["candidate"].alias("candidate_video_id"), (-e["n"]).alias("common_tag_count")
+                ),
+            ).alias("partners"),
+        )
+        .where(F.size("partners") > 0)
     )
 
 
-def _tag_heads(tags: DataFrame, n: int) -> DataFrame:
-    """Per tag used twice or more: its number of uses and its ``n`` smallest ids."""
-    uses = tags.groupBy("tag").agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
+def _talk_heads(tags: DataFrame, uses: DataFrame, n: int, max_width: int) -> DataFrame:
+    """Per talk the ``n`` smallest ids among the heads of its tags.
+
+    A wide talk gets the heads of ``max_width`` of its tags only; its partners
+    are all counted elsewhere, so these add nothing to it.
+    """
     heads = (
         _smallest(tags, ["tag"], [F.asc("video_id")], n)
         .groupBy("tag")
         .agg(F.array_sort(F.collect_list("video_id")).alias("head"))
+        .join(uses.select("tag"), "tag", "left_semi")
     )
-    return uses.join(heads, "tag")
-
-
-def _tag_sets(narrow: DataFrame, heads: DataFrame, n: int) -> DataFrame:
-    """Per narrow talk: its tags from rare to popular, and the ``n`` smallest head ids."""
-    rare_first = F.array_sort(F.collect_list(F.struct("uses", "tag")))
-    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("head"))))
+    all_heads = F.array_distinct(F.flatten(F.collect_list("head")))
     return (
-        narrow.join(heads, "tag")
+        _smallest(tags.join(heads, "tag"), ["video_id"], [F.asc("tag")], max_width)
         .groupBy("video_id")
-        .agg(rare_first["tag"].alias("tagset"), F.slice(merged, 1, n).alias("head"))
-    )
-
-
-def _one_tag_partners(tag_sets: DataFrame) -> DataFrame:
-    return tag_sets.select(
-        "video_id", F.explode("head").alias("candidate"), F.lit(1).cast("bigint").alias("shared")
+        .agg(F.slice(F.array_sort(all_heads), 1, n).alias("head"))
     )
 
 
-def _tag_pair_rows(tag_sets: DataFrame) -> DataFrame:
-    """(video_id, t, u, rest) for each pair of a talk's tags, t rarer than u."""
+def _tag_pair_rows(shared_tags: DataFrame, max_width: int) -> DataFrame:
+    """(video_id, t, u, rest, h) for each pair of a narrow talk's tags, t rarer than u."""
+    rare_first = F.array_sort(F.collect_list(F.struct("uses", "tag")))
     size = F.size("tagset")
-    pairs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size - 1),
-            lambda i: F.transform(
-                F.sequence(i + 1, size),
-                lambda j: F.struct(
-                    F.element_at("tagset", i).alias("t"),
-                    F.element_at("tagset", j).alias("u"),
-                    F.slice("tagset", j + 1, size).alias("rest"),
-                ),
-            ),
+    return (
+        _smallest(shared_tags, ["video_id"], [F.asc("uses"), F.asc("tag")], max_width + 1)
+        .groupBy("video_id")
+        .agg(rare_first["tag"].alias("tagset"))
+        .where(size <= max_width)
+        .select("video_id", "tagset", F.posexplode("tagset").alias("i", "t"))
+        .where(F.col("i") < size - 1)
+        .select(
+            "video_id",
+            "tagset",
+            "i",
+            "t",
+            F.posexplode(F.slice("tagset", F.col("i") + 2, size)).alias("j", "u"),
+        )
+        .select(
+            "video_id",
+            "t",
+            "u",
+            F.slice("tagset", F.col("i") + F.col("j") + 3, size).alias("rest"),
+            F.xxhash64("t", "u").alias("h"),
         )
-    )
-    return tag_sets.where(size > 1).select("video_id", F.explode(pairs).alias("p")).select(
-        "video_id", "p.*"
     )
 
 
-def _two_tag_partners(tag_sets: DataFrame, n: int) -> DataFrame:
-    rows = _tag_pair_rows(tag_sets).withColumn("h", F.xxhash64("t", "u"))
+def _two_tag_partners(shared_tags: DataFrame, n: int, max_width: int) -> DataFrame:
+    """Partners of narrow talks that share two tags or more."""
+    rows = _tag_pair_rows(shared_tags, max_width)
     # Most tag pairs belong to one talk only. The hash just thins them out: a
     # false match keeps a row that then finds no partner.
     met = rows.groupBy("h").agg(F.count("*").alias("talks")).where(F.col("talks") > 1)
@@ -163,61 +183,67 @@ def _two_tag_partners(tag_sets: DataFrame, n: int) -> DataFrame:
     matches = left.join(right, ["t", "u", "block"]).select(
         "t", "u", "rest", shared.alias("shared"), F.explode("ids").alias("candidate")
     )
-    best = _smallest(
-        matches, ["t", "u", "rest"], [F.desc("shared"), F.asc("candidate")], n
-    )
+    best = _best(matches, ["t", "u", "rest"], n)
     return rows.join(best, ["t", "u", "rest"]).select("video_id", "candidate", "shared")
 
 
-def _wide_partners(tags: DataFrame, narrow: DataFrame, wide: DataFrame, n: int) -> DataFrame:
-    """Partners of wide talks, and wide talks as partners of the others."""
-    wide_tags = tags.join(wide, "video_id", "left_semi")
+def _wide_partners(
+    tags: DataFrame, shared_tags: DataFrame, n: int, max_width: int
+) -> DataFrame:
+    """Partners of the wide talks, and wide talks as partners of the narrow ones."""
     # Equal tag sets have equal width and equal 128-bit fingerprint.
-    marks = wide_tags.groupBy("video_id").agg(
-        F.count("*").alias("width"),
-        F.bit_xor(F.xxhash64("tag")).alias("mark_1"),
-        F.bit_xor(F.xxhash64(F.lit("second"), "tag")).alias("mark_2"),
-    )
     same = ["width", "mark_1", "mark_2"]
+    wide = (
+        shared_tags.groupBy("video_id")
+        .agg(
+            F.count("*").alias("width"),
+            F.bit_xor(F.xxhash64("tag")).alias("mark_1"),
+            F.bit_xor(F.xxhash64(F.lit("second"), "tag")).alias("mark_2"),
+        )
+        .where(F.col("width") > max_width)
+    )
     copies = (
-        _smallest(marks, same, [F.asc("video_id")], n)
+        _smallest(wide, same, [F.asc("video_id")], n)
         .groupBy(*same)
         .agg(F.array_sort(F.collect_list("video_id")).alias("ids"))
         .withColumn("lead", F.col("ids")[0])
     )
-    members = marks.join(copies, same).select("video_id", "lead")
-    leads = copies.select("lead", "ids")
-    lead_tags = wide_tags.join(
-        leads.select(F.col("lead").alias("video_id")), "video_id", "left_semi"
-    )
+    members = wide.join(copies, same).select("video_id", "lead")
+    leads = copies.select(F.col("lead").alias("video_id"), "ids")
 
-    others = narrow.unionByName(lead_tags).withColumnRenamed("video_id", "other")
-    shared = (
-        lead_tags.withColumnRenamed("video_id", "lead")
-        .join(others, "tag")
+    # The smallest talk of each set is counted against every talk, and then
+    # kept against narrow talks and the smallest talks of other sets.
+    counted = (
+        shared_tags.join(leads, "video_id", "left_semi")
+        .select(F.col("video_id").alias("lead"), "tag")
+        .join(tags.withColumnRenamed("video_id", "other"), "tag")
         .groupBy("lead", "other")
         .agg(F.count("*").alias("shared"))
-    )
-    # Each pair is read in both directions; two wide sets meet in both already.
-    is_lead = leads.select(F.col("lead").alias("other"), F.col("ids").alias("other_ids"))
-    shared = shared.join(is_lead, "other", "left")
-    forward = shared.select(
-        "lead",
-        "shared",
-        F.explode(F.coalesce("other_ids", F.array("other"))).alias("candidate"),
-    )
-    for_wide = members.join(
-        _smallest(forward, ["lead"], [F.desc("shared"), F.asc("candidate")], n), "lead"
-    ).select("video_id", "candidate", "shared")
-    backward = (
-        shared.where(F.col("other_ids").isNull())
-        .join(leads, "lead")
-        .select(
-            F.col("other").alias("video_id"), F.explode("ids").alias("candidate"), "shared"
+        .join(
+            members.select(F.col("video_id").alias("other"), F.col("lead").alias("other_lead")),
+            "other",
+            "left",
         )
+        .where(F.col("other_lead").isNull() | (F.col("other_lead") == F.col("other")))
+    )
+    counted = counted.join(
+        leads.select(F.col("video_id").alias("other"), F.col("ids").alias("other_ids")),
+        "other",
+        "left",
+    )
+    of_leads = counted.select(
+        "lead", "shared", F.explode(F.coalesce("other_ids", F.array("other"))).alias("candidate")
+    )
+    of_narrow = (
+        counted.where(F.col("other_lead").isNull())
+        .join(leads.withColumnRenamed("video_id", "lead"), "lead")
+        .select(F.col("other").alias("video_id"), F.explode("ids").alias("candidate"), "shared")
+    )
+    return (
+        members.join(_best(of_leads, ["lead"], n), "lead")
+        .select("video_id", "candidate", "shared")
+        .unionByName(_best(of_narrow, ["video_id"], n))
     )
-    for_narrow = _smallest(backward, ["video_id"], [F.desc("shared"), F.asc("candidate")], n)
-    return for_wide.unionByName(for_narrow)
 
 
 def related_tag_counts(related: DataFrame, tags: DataFrame) -> DataFrame:
@@ -304,6 +330,53 @@ def watch_next(
     tag_weight: float = TAG_WEIGHT,
     max_width: int = MAX_WIDTH,
 ) -> DataFrame:
-    """Cleaned tags and links to one recommendation list per talk."""
-    pairs = candidates(related, tags, k, max_width)
-    return nest(top_k(score(pairs, related_weight, tag_weight), k))
+    """Cleaned tags and links to one recommendation list per talk.
+
+    The same lists as ``nest(top_k(score(candidates(...))))``. Each talk's ``k``
+    best links and ``k`` best partners are merged as two short arrays, without
+    a shuffle of their rows.
+    """
+    linked = related_tag_counts(related, tags).withColumn("is_related", F.lit(1))
+    links = (
+        top_k(score(linked, related_weight, tag_weight), k)
+        .groupBy(F.col("source_video_id").alias("video_id"))
+        .agg(F.collect_list(F.struct("candidate_video_id", "common_tag_count")).alias("links"))
+    )
+
+    def entry(pair: Column, is_related: bool) -> Column:
+        count = pair["common_tag_count"]
+        points = count * tag_weight + (related_weight if is_related else 0)
+        reasons = F.array(
+            F.lit("related_video" if is_related else None),
+            F.when(count > 0, F.lit("common_tags")),
+        )
+        return F.struct(
+            (-points.cast("double")).alias("loss"),
+            pair["candidate_video_id"].alias("video_id"),
+            F.array_compact(reasons).alias("reasons"),
+        )
+
+    # A partner that is also linked counts as the link.
+    partners = F.filter(
+        F.coalesce("partners", F.array()),
+        lambda p: ~F.array_contains(
+            F.coalesce(F.col("links.candidate_video_id"), F.array()), p["candidate_video_id"]
+        ),
+    )
+    merged = F.array_sort(
+        F.concat(
+            F.transform(F.coalesce("links", F.array()), lambda p: entry(p, True)),
+            F.transform(partners, lambda p: entry(p, False)),
+        )
+    )
+    return (
+        partner_lists(tags, k, max_width)
+        .join(links, "video_id", "full_outer")
+        .select(
+            F.col("video_id").alias("_id"),
+            F.transform(
+                F.slice(merged, 1, k),
+                lambda e: F.struct(e["video_id"], (-e["loss"]).alias("score"), e["reasons"]),
+            ).alias("recommendations"),
+        )
+    )

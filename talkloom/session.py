@@ -22,6 +22,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
         .appName("talkloom")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in SETTINGS.items():

@@ -113,9 +113,14 @@ def test_against_brute_force(spark, seed, k, max_width):
         n, r = counts.get((a, b), 0), (a, b) in links
         scored.setdefault(a, []).append((-(5 * r + 3 * n), b))
     want_lists = {a: [(b, -float(s)) for s, b in sorted(xs)[:k]] for a, xs in scored.items()}
-    lists = recommend.watch_next(tags, related, k, max_width=max_width).collect()
+    lists = recommend.watch_next(tags, related, k, max_width=max_width)
+    staged = recommend.nest(
+        recommend.top_k(recommend.score(recommend.candidates(related, tags, k, max_width)), k)
+    )
+    assert sorted(map(str, lists.collect())) == sorted(map(str, staged.collect()))
     assert {
-        r["_id"]: [(x["video_id"], x["score"]) for x in r["recommendations"]] for r in lists
+        r["_id"]: [(x["video_id"], x["score"]) for x in r["recommendations"]]
+        for r in lists.collect()
     } == {a: xs for a, xs in want_lists.items()}
 
 
