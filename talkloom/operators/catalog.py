@@ -41,7 +41,7 @@ def tag_lists(tags: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
         .withColumn("page", page_of(F.col("pages"), F.col("tag"), F.col("chunk")))
         .groupBy("_id", "page")
         .agg(
-            F.array_sort(
+            F.sort_array(
                 F.flatten(F.collect_list(F.array_repeat("tag", in_chunk.cast("int"))))
             ).alias("tags")
         )
@@ -83,7 +83,7 @@ def talk_profiles(talks: DataFrame, tags: DataFrame) -> DataFrame:
     tag_sets = (
         tags.where(F.col("id").isNotNull() & F.col("tag").isNotNull())
         .groupBy(F.col("id").alias("video_id"))
-        .agg(F.array_sort(F.collect_set("tag")).alias("tags"))
+        .agg(F.sort_array(F.collect_set("tag")).alias("tags"))
     )
     no_tags = F.array().cast("array<string>")
     return (

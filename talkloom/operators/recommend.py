@@ -19,6 +19,10 @@ reader could be one of them.
    high elsewhere, so the maximum over pairs is the true count.
 3. *Wide talks*: talks with more than ``max_width`` tags would give too many
    pairs; equal tag sets are merged and counted directly against the others.
+
+Tags with a single use join nothing and are left out of all three. The tag
+table, the tag sets and the rows that meet at a pair are read several times, so
+they are written to the scratch folder first: these functions run Spark jobs.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkloom.sources.scratch import keep
+
 MAX_RECOMMENDATIONS = 10
 RELATED_WEIGHT = 5
 TAG_WEIGHT = 3
@@ -47,6 +53,12 @@ def _best(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return _smallest(df, keys, [F.desc("shared"), F.asc("candidate")], n)
 
 
+def shared_tags(tags: DataFrame) -> DataFrame:
+    """Distinct (video_id, tag) rows whose tag has two uses or more, and the uses."""
+    uses = tags.groupBy("tag").agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
+    return keep(tags.join(uses, "tag").select("video_id", "tag", "uses"), "shared-tags")
+
+
 def common_tag_pairs(
     tags: DataFrame, k: int = MAX_RECOMMENDATIONS, max_width: int = MAX_WIDTH
 ) -> DataFrame:
@@ -55,81 +67,136 @@ def common_tag_pairs(
     ``tags`` holds distinct (video_id, tag) rows. Gives source_video_id,
     candidate_video_id, common_tag_count.
     """
-    return partner_lists(tags, k, max_width).select(
-        F.col("video_id").alias("source_video_id"), F.inline("partners")
+    return _partners(shared_tags(tags), k, max_width)
+
+
+def _partners(shared: DataFrame, k: int, max_width: int) -> DataFrame:
+    return (
+        _best_lists(shared, None, k, 0, 1, max_width)
+        .select("video_id", F.inline("best"))
+        .select(
+            F.col("video_id").alias("source_video_id"),
+            F.col("candidate").alias("candidate_video_id"),
+            F.col("shared").alias("common_tag_count"),
+        )
     )
 
 
-def partner_lists(
-    tags: DataFrame, k: int = MAX_RECOMMENDATIONS, max_width: int = MAX_WIDTH
+def _best_lists(
+    shared: DataFrame,
+    linked: DataFrame | None,
+    k: int,
+    related_weight: float,
+    tag_weight: float,
+    max_width: int,
 ) -> DataFrame:
-    """``common_tag_pairs`` with one row per talk: video_id, partners, best first."""
-    uses = tags.groupBy("tag").agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
-    shared_tags = tags.join(uses, "tag")
-    met = (
-        _two_tag_partners(shared_tags, k + 1, max_width)
-        .unionByName(_wide_partners(tags, shared_tags, k + 1, max_width))
-        .where(F.col("video_id") != F.col("candidate"))
-        .groupBy("video_id", "candidate")
-        .agg(F.max("shared").alias("shared"))
+    """One row per talk: its ``k`` best links and partners, best first.
+
+    ``linked`` holds links with their exact counts. Gives video_id and best,
+    an array of (loss, candidate, is_related, shared); loss is minus the score.
+    """
+    wide = _wide_talks(shared, max_width)
+    narrow, wide_partners = shared, None
+    if not wide.isEmpty():
+        narrow = shared.join(wide.select("video_id"), "video_id", "left_anti")
+        wide_partners = _wide_partners(shared, wide, k + 1)
+    sets = _tag_sets(shared, narrow, k + 1)
+
+    met = _two_tag_partners(sets, k + 1)
+    if wide_partners is not None:
+        met = met.unionByName(wide_partners)
+    met = met.where(F.col("video_id") != F.col("candidate")).withColumn("is_related", F.lit(0))
+    if linked is not None:
+        met = met.unionByName(
+            linked.select(
+                F.col("source_video_id").alias("video_id"),
+                F.col("candidate_video_id").alias("candidate"),
+                F.col("common_tag_count").alias("shared"),
+                F.lit(1).alias("is_related"),
+            )
+        )
+    loss = -(F.col("is_related") * related_weight + F.col("shared") * tag_weight)
+    rated = (
+        met.groupBy("video_id", "candidate")
+        .agg(F.max("is_related").alias("is_related"), F.max("shared").alias("shared"))
+        .withColumn("loss", loss.cast("double"))
+    )
+    known = (
+        _smallest(rated, ["video_id"], [F.asc("loss"), F.asc("candidate")], k)
+        .groupBy("video_id")
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("loss", "candidate", "is_related", "shared"))
+            ).alias("known")
+        )
     )
-    # Both lists are bounded per talk and keyed by it, so they merge as arrays.
-    counted = F.struct((-F.col("shared")).alias("n"), "candidate")
-    extras = (
-        _best(met, ["video_id"], k).groupBy("video_id").agg(F.collect_list(counted).alias("extra"))
+    # Both lists are bounded per talk and keyed by it, so they merge as arrays:
+    # a head not known yet shares one tag and is no link.
+    known_ids = F.coalesce(F.col("known.candidate"), F.array())
+    fresh = F.transform(
+        F.slice(
+            F.array_except("head", F.array_append(known_ids, F.col("video_id"))), 1, k
+        ),
+        lambda c: F.struct(
+            F.lit(-float(tag_weight)).alias("loss"),
+            c.alias("candidate"),
+            F.lit(0).alias("is_related"),
+            F.lit(1).cast("bigint").alias("shared"),
+        ),
     )
-    seen = F.array_append(F.coalesce(F.col("extra.candidate"), F.array()), F.col("video_id"))
-    ones = F.transform(
-        F.array_except("head", seen),
-        lambda c: F.struct(F.lit(-1).cast("bigint").alias("n"), c.alias("candidate")),
+    merged = (
+        sets.select("video_id", "head")
+        .join(known, "video_id", "full_outer")
+        .withColumn("head", F.coalesce("head", F.array()))
+        .select("video_id", "known", fresh.alias("fresh"))
     )
-    best_first = F.array_sort(F.concat(F.coalesce("extra", F.array()), ones))
-    return (
-        _talk_heads(tags, uses, k + 1, max_width)
-        .join(extras, "video_id", "left")
-        .select(
-            "video_id",
-            F.transform(
-                F.slice(best_first, 1, k),
-                lambda e: F.struct(
-                    e["candidate"].alias("candidate_video_id"), (-e["n"]).alias("common_tag_count")
-                ),
-            ).alias("partners"),
-        )
-        .where(F.size("partners") > 0)
+    best = (
+        F.when(F.col("known").isNull(), F.col("fresh"))
+        .when(F.size("fresh") == 0, F.col("known"))
+        .otherwise(F.slice(F.sort_array(F.concat("known", "fresh")), 1, k))
     )
+    return merged.select("video_id", best.alias("best"))
 
 
-def _talk_heads(tags: DataFrame, uses: DataFrame, n: int, max_width: int) -> DataFrame:
-    """Per talk the ``n`` smallest ids among the heads of its tags.
+def _wide_talks(shared: DataFrame, max_width: int) -> DataFrame:
+    """Talks with more than ``max_width`` tags and a mark of their tag set.
 
-    A wide talk gets the heads of ``max_width`` of its tags only; its partners
-    are all counted elsewhere, so these add nothing to it.
+    Equal tag sets have equal width and equal 128-bit fingerprint.
     """
+    return keep(
+        shared.groupBy("video_id")
+        .agg(
+            F.count("*").alias("width"),
+            F.bit_xor(F.xxhash64("tag")).alias("mark_1"),
+            F.bit_xor(F.xxhash64(F.lit("second"), "tag")).alias("mark_2"),
+        )
+        .where(F.col("width") > max_width),
+        "wide-talks",
+    )
+
+
+def _tag_sets(shared: DataFrame, narrow: DataFrame, n: int) -> DataFrame:
+    """Per narrow talk its tags, rare first, and the ``n`` smallest ids of their heads."""
     heads = (
-        _smallest(tags, ["tag"], [F.asc("video_id")], n)
+        _smallest(shared, ["tag"], [F.asc("video_id")], n)
         .groupBy("tag")
-        .agg(F.array_sort(F.collect_list("video_id")).alias("head"))
-        .join(uses.select("tag"), "tag", "left_semi")
+        .agg(F.collect_list("video_id").alias("head"))
     )
-    all_heads = F.array_distinct(F.flatten(F.collect_list("head")))
-    return (
-        _smallest(tags.join(heads, "tag"), ["video_id"], [F.asc("tag")], max_width)
+    rare_first = F.sort_array(F.collect_list(F.struct("uses", "tag")))
+    head = F.sort_array(F.array_distinct(F.flatten(F.collect_list("head"))))
+    return keep(
+        narrow.join(heads, "tag")
         .groupBy("video_id")
-        .agg(F.slice(F.array_sort(all_heads), 1, n).alias("head"))
+        .agg(rare_first["tag"].alias("tagset"), F.slice(head, 1, n).alias("head")),
+        "tag-sets",
     )
 
 
-def _tag_pair_rows(shared_tags: DataFrame, max_width: int) -> DataFrame:
-    """(video_id, t, u, rest, h) for each pair of a narrow talk's tags, t rarer than u."""
-    rare_first = F.array_sort(F.collect_list(F.struct("uses", "tag")))
+def _tag_pair_rows(sets: DataFrame) -> DataFrame:
+    """(video_id, t, u, rest, h) for each pair of a talk's tags, t rarer than u."""
     size = F.size("tagset")
     return (
-        _smallest(shared_tags, ["video_id"], [F.asc("uses"), F.asc("tag")], max_width + 1)
-        .groupBy("video_id")
-        .agg(rare_first["tag"].alias("tagset"))
-        .where(size <= max_width)
-        .select("video_id", "tagset", F.posexplode("tagset").alias("i", "t"))
+        sets.select("video_id", "tagset", F.posexplode("tagset").alias("i", "t"))
         .where(F.col("i") < size - 1)
         .select(
             "video_id",
@@ -148,13 +215,13 @@ def _tag_pair_rows(shared_tags: DataFrame, max_width: int) -> DataFrame:
     )
 
 
-def _two_tag_partners(shared_tags: DataFrame, n: int, max_width: int) -> DataFrame:
+def _two_tag_partners(sets: DataFrame, n: int) -> DataFrame:
     """Partners of narrow talks that share two tags or more."""
-    rows = _tag_pair_rows(shared_tags, max_width)
+    rows = _tag_pair_rows(sets)
     # Most tag pairs belong to one talk only. The hash just thins them out: a
     # false match keeps a row that then finds no partner.
     met = rows.groupBy("h").agg(F.count("*").alias("talks")).where(F.col("talks") > 1)
-    rows = rows.join(met, "h", "left_semi").drop("h")
+    rows = keep(rows.join(met, "h", "left_semi").drop("h"), "pair-rows")
 
     groups = (
         _smallest(rows, ["t", "u", "rest"], [F.asc("video_id")], n)
@@ -187,25 +254,13 @@ def _two_tag_partners(shared_tags: DataFrame, n: int, max_width: int) -> DataFra
     return rows.join(best, ["t", "u", "rest"]).select("video_id", "candidate", "shared")
 
 
-def _wide_partners(
-    tags: DataFrame, shared_tags: DataFrame, n: int, max_width: int
-) -> DataFrame:
+def _wide_partners(shared: DataFrame, wide: DataFrame, n: int) -> DataFrame:
     """Partners of the wide talks, and wide talks as partners of the narrow ones."""
-    # Equal tag sets have equal width and equal 128-bit fingerprint.
     same = ["width", "mark_1", "mark_2"]
-    wide = (
-        shared_tags.groupBy("video_id")
-        .agg(
-            F.count("*").alias("width"),
-            F.bit_xor(F.xxhash64("tag")).alias("mark_1"),
-            F.bit_xor(F.xxhash64(F.lit("second"), "tag")).alias("mark_2"),
-        )
-        .where(F.col("width") > max_width)
-    )
     copies = (
         _smallest(wide, same, [F.asc("video_id")], n)
         .groupBy(*same)
-        .agg(F.array_sort(F.collect_list("video_id")).alias("ids"))
+        .agg(F.sort_array(F.collect_list("video_id")).alias("ids"))
         .withColumn("lead", F.col("ids")[0])
     )
     members = wide.join(copies, same).select("video_id", "lead")
@@ -214,9 +269,9 @@ def _wide_partners(
     # The smallest talk of each set is counted against every talk, and then
     # kept against narrow talks and the smallest talks of other sets.
     counted = (
-        shared_tags.join(leads, "video_id", "left_semi")
+        shared.join(leads, "video_id", "left_semi")
         .select(F.col("video_id").alias("lead"), "tag")
-        .join(tags.withColumnRenamed("video_id", "other"), "tag")
+        .join(shared.select(F.col("video_id").alias("other"), "tag"), "tag")
         .groupBy("lead", "other")
         .agg(F.count("*").alias("shared"))
         .join(
@@ -251,6 +306,11 @@ def related_tag_counts(related: DataFrame, tags: DataFrame) -> DataFrame:
 
     A talk linked to itself counts none, as it is no partner of its own.
     """
+    return _linked(related, tags)
+
+
+def _linked(related: DataFrame, tags: DataFrame) -> DataFrame:
+    tags = tags.select("video_id", "tag")
     tagged = related.where(F.col("source_video_id") != F.col("related_video_id")).join(
         tags.withColumnRenamed("video_id", "source_video_id"), "source_video_id"
     )
@@ -273,8 +333,9 @@ def candidates(
     Counts are exact on every row, and the rows hold the best ``k`` under any
     positive tag weight and non-negative link weight.
     """
-    linked = related_tag_counts(related, tags).withColumn("is_related", F.lit(1))
-    partners = common_tag_pairs(tags, k, max_width).withColumn("is_related", F.lit(0))
+    shared = shared_tags(tags)
+    linked = _linked(related, shared).withColumn("is_related", F.lit(1))
+    partners = _partners(shared, k, max_width).withColumn("is_related", F.lit(0))
     return (
         linked.unionByName(partners)
         .groupBy("source_video_id", "candidate_video_id")
@@ -285,20 +346,29 @@ def candidates(
     )
 
 
+def _reasons(is_related: Column, shared: Column) -> Column:
+    """The reasons that apply, links first."""
+    return F.array_compact(
+        F.array(
+            F.when(is_related == 1, F.lit("related_video")),
+            F.when(shared > 0, F.lit("common_tags")),
+        )
+    )
+
+
+def _check_weights(related_weight: float, tag_weight: float) -> None:
+    if tag_weight <= 0 or related_weight < 0:
+        raise ValueError("tag_weight must be positive and related_weight not negative")
+
+
 def score(
     pairs: DataFrame, related_weight: float = RELATED_WEIGHT, tag_weight: float = TAG_WEIGHT
 ) -> DataFrame:
-    """Add the weighted score and the reasons that apply, links first."""
-    if tag_weight <= 0 or related_weight < 0:
-        raise ValueError("tag_weight must be positive and related_weight not negative")
+    """Add the weighted score and the reasons."""
+    _check_weights(related_weight, tag_weight)
     weighted = F.col("is_related") * related_weight + F.col("common_tag_count") * tag_weight
-    reasons = F.array(
-        F.when(F.col("is_related") == 1, F.lit("related_video")),
-        F.when(F.col("common_tag_count") > 0, F.lit("common_tags")),
-    )
-    return pairs.withColumns(
-        {"score": weighted.cast("double"), "reasons": F.array_compact(reasons)}
-    )
+    reasons = _reasons(F.col("is_related"), F.col("common_tag_count"))
+    return pairs.withColumns({"score": weighted.cast("double"), "reasons": reasons})
 
 
 def top_k(scored: DataFrame, k: int = MAX_RECOMMENDATIONS) -> DataFrame:
@@ -314,7 +384,7 @@ def nest(ranked: DataFrame) -> DataFrame:
     entry = F.struct(
         "rank", F.col("candidate_video_id").alias("video_id"), "score", "reasons"
     )
-    in_order = F.array_sort(F.collect_list(entry))
+    in_order = F.sort_array(F.collect_list(entry))
     return ranked.groupBy(F.col("source_video_id").alias("_id")).agg(
         F.transform(
             in_order, lambda e: F.struct(e["video_id"], e["score"], e["reasons"])
@@ -332,51 +402,21 @@ def watch_next(
 ) -> DataFrame:
     """Cleaned tags and links to one recommendation list per talk.
 
-    The same lists as ``nest(top_k(score(candidates(...))))``. Each talk's ``k``
-    best links and ``k`` best partners are merged as two short arrays, without
-    a shuffle of their rows.
+    The same lists as ``nest(top_k(score(candidates(...))))``, with links and
+    partners merged as short arrays instead of shuffled rows.
     """
-    linked = related_tag_counts(related, tags).withColumn("is_related", F.lit(1))
-    links = (
-        top_k(score(linked, related_weight, tag_weight), k)
-        .groupBy(F.col("source_video_id").alias("video_id"))
-        .agg(F.collect_list(F.struct("candidate_video_id", "common_tag_count")).alias("links"))
-    )
-
-    def entry(pair: Column, is_related: bool) -> Column:
-        count = pair["common_tag_count"]
-        points = count * tag_weight + (related_weight if is_related else 0)
-        reasons = F.array(
-            F.lit("related_video" if is_related else None),
-            F.when(count > 0, F.lit("common_tags")),
-        )
-        return F.struct(
-            (-points.cast("double")).alias("loss"),
-            pair["candidate_video_id"].alias("video_id"),
-            F.array_compact(reasons).alias("reasons"),
-        )
-
-    # A partner that is also linked counts as the link.
-    partners = F.filter(
-        F.coalesce("partners", F.array()),
-        lambda p: ~F.array_contains(
-            F.coalesce(F.col("links.candidate_video_id"), F.array()), p["candidate_video_id"]
-        ),
-    )
-    merged = F.array_sort(
-        F.concat(
-            F.transform(F.coalesce("links", F.array()), lambda p: entry(p, True)),
-            F.transform(partners, lambda p: entry(p, False)),
-        )
-    )
-    return (
-        partner_lists(tags, k, max_width)
-        .join(links, "video_id", "full_outer")
-        .select(
-            F.col("video_id").alias("_id"),
-            F.transform(
-                F.slice(merged, 1, k),
-                lambda e: F.struct(e["video_id"], (-e["loss"]).alias("score"), e["reasons"]),
-            ).alias("recommendations"),
-        )
+    _check_weights(related_weight, tag_weight)
+    shared = shared_tags(tags)
+    linked = _linked(related, shared)
+    lists = _best_lists(shared, linked, k, related_weight, tag_weight, max_width)
+    return lists.select(
+        F.col("video_id").alias("_id"),
+        F.transform(
+            "best",
+            lambda e: F.struct(
+                e["candidate"].alias("video_id"),
+                (-e["loss"]).alias("score"),
+                _reasons(e["is_related"], e["shared"]).alias("reasons"),
+            ),
+        ).alias("recommendations"),
     )
