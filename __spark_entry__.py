@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from talkloom.operators import catalog, lookup, paths, recommend, search, stats
 from talkloom.sources import bindings
+from talkloom.sources.scratch import keep
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 ASKED_TALK = "17"
@@ -35,8 +36,9 @@ def _orders_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _documents_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Written first, as paths are built from the stored profiles and read them often."""
     tables = bindings.documents_catalog(spark, sf)
-    return catalog.talk_profiles(tables.talks, tables.tags)
+    return keep(catalog.talk_profiles(tables.talks, tables.tags), "videos")
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,24 +179,24 @@ def _flat_paths(documents: DataFrame) -> DataFrame:
 
 
 def _speaker_paths(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_paths(paths.speaker_paths(_orders_profiles(spark, sf)))
+    return _flat_paths(paths.speaker_paths(_orders_profiles(spark, sf), unique=True))
 
 
 def _topic_paths(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_paths(paths.topic_paths(_documents_profiles(spark, sf)))
+    return _flat_paths(paths.topic_paths(_documents_profiles(spark, sf), unique=True))
 
 
 def _topic_paths_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_paths(paths.distinct_topic_paths(_documents_profiles(spark, sf)))
+    return _flat_paths(paths.distinct_topic_paths(_documents_profiles(spark, sf), unique=True))
 
 
 def _build_paths(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_paths(paths.build_paths(_documents_profiles(spark, sf)))
+    return _flat_paths(paths.build_paths(_documents_profiles(spark, sf), unique=True))
 
 
 def _path_summary(spark: SparkSession, sf: str) -> DataFrame:
     profiles = _documents_profiles(spark, sf)
-    return paths.path_summary(paths.build_paths(profiles), profiles)
+    return paths.path_summary(paths.build_paths(profiles, unique=True), profiles)
 
 
 def _learning_stats(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode blanks as Python sees them: Java's White_Space class plus the four
-# ASCII separators 1C-1F.
-_BLANK = r"[\s\x1c-\x1f]"
+# The characters that count as blanks.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing Unicode blanks (``trim`` removes U+0020 only)."""
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    """Remove leading and trailing Unicode blanks (``trim`` alone removes U+0020 only)."""
+    return F.trim(text, F.lit(BLANKS))
 
 
 def normalise(text: Column) -> Column:
     """Lower case, blanks collapsed to one space, ends stripped; null becomes ''."""
-    collapsed = F.regexp_replace(F.lower(text), rf"(?U){_BLANK}+", " ")
+    collapsed = F.regexp_replace(F.lower(text), f"[{BLANKS}]+", " ")
     return F.coalesce(F.trim(collapsed), F.lit(""))
 
 

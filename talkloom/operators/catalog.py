@@ -78,7 +78,8 @@ def _distinct_pairs(df: DataFrame, **names: str) -> DataFrame:
 def talk_profiles(talks: DataFrame, tags: DataFrame) -> DataFrame:
     """One row per talk with its distinct tags, sorted; no tags gives an empty array.
 
-    Both sides are grouped by the talk id, so the join adds no shuffle.
+    Both sides are grouped by the talk id, so merging them adds no shuffle, and
+    the tag arrays are never broadcast on a size guessed too low.
     """
     tag_sets = (
         tags.where(F.col("id").isNotNull() & F.col("tag").isNotNull())
@@ -88,6 +89,6 @@ def talk_profiles(talks: DataFrame, tags: DataFrame) -> DataFrame:
     no_tags = F.array().cast("array<string>")
     return (
         clean_talks(talks)
-        .join(tag_sets, "video_id", "left")
+        .join(tag_sets.hint("merge"), "video_id", "left")
         .withColumn("tags", F.coalesce("tags", no_tags))
     )

@@ -78,10 +78,11 @@ def talk_ids(profiles: DataFrame) -> Column:
     return F.coalesce(*[F.nullif(F.col(c).cast("string"), F.lit("")) for c in names])
 
 
-def speaker_members(profiles: DataFrame) -> DataFrame:
+def speaker_members(profiles: DataFrame, unique: bool = False) -> DataFrame:
     """Distinct (title, video_id): every speaker with every talk they gave.
 
-    A text is one speaker and never split. ``presenterDisplayName`` adds a
+    ``unique`` states that no two profiles share an id, as those of
+    ``talk_profiles``; then no shuffle is needed to count a talk once. A text is one speaker and never split. ``presenterDisplayName`` adds a
     speaker where the column exists.
     """
     names = []
@@ -90,21 +91,22 @@ def speaker_members(profiles: DataFrame) -> DataFrame:
             listed = profiles.schema[column].dataType.typeName() == "array"
             names.append(F.col(column) if listed else F.array(F.col(column).cast("string")))
     everyone = F.flatten(F.array(*[F.coalesce(n, F.array()) for n in names]))
-    return _members(profiles, everyone, F.length("title") > 0)
+    return _members(profiles, everyone, F.length("title") > 0, unique)
 
 
-def topic_members(profiles: DataFrame, min_length: int = MIN_TOPIC_LENGTH) -> DataFrame:
+def topic_members(
+    profiles: DataFrame, unique: bool = False, min_length: int = MIN_TOPIC_LENGTH
+) -> DataFrame:
     """Distinct (title, video_id): every tag long enough with its talks, case kept."""
-    return _members(profiles, F.col("tags"), F.length("title") >= min_length)
+    return _members(profiles, F.col("tags"), F.length("title") >= min_length, unique)
 
 
-def _members(profiles: DataFrame, names: Column, wanted: Column) -> DataFrame:
+def _members(profiles: DataFrame, names: Column, wanted: Column, unique: bool) -> DataFrame:
     stripped = F.array_distinct(F.transform(names, strip))
-    return (
-        profiles.select(talk_ids(profiles).alias("video_id"), F.explode(stripped).alias("title"))
-        .where(F.col("video_id").isNotNull() & wanted)
-        .distinct()
-    )
+    members = profiles.select(
+        talk_ids(profiles).alias("video_id"), F.explode(stripped).alias("title")
+    ).where(F.col("video_id").isNotNull() & F.col("title").isNotNull() & wanted)
+    return members if unique else members.distinct()
 
 
 def rank_paths(
@@ -146,18 +148,24 @@ def path_documents(ranked: DataFrame, members: DataFrame, page_size: int = PAGE_
 
 
 def speaker_paths(
-    profiles: DataFrame, min_talks: int = MIN_TALKS, max_paths: int = MAX_PATHS
+    profiles: DataFrame,
+    unique: bool = False,
+    min_talks: int = MIN_TALKS,
+    max_paths: int = MAX_PATHS,
 ) -> DataFrame:
     """The largest speaker paths."""
-    members = speaker_members(profiles)
+    members = speaker_members(profiles, unique)
     return path_documents(rank_paths(members, "speaker", min_talks, max_paths), members)
 
 
 def topic_paths(
-    profiles: DataFrame, min_talks: int = MIN_TALKS, max_paths: int = MAX_PATHS
+    profiles: DataFrame,
+    unique: bool = False,
+    min_talks: int = MIN_TALKS,
+    max_paths: int = MAX_PATHS,
 ) -> DataFrame:
     """The largest topic paths, near-duplicates included."""
-    members = topic_members(profiles)
+    members = topic_members(profiles, unique)
     return path_documents(rank_paths(members, "topic", min_talks, max_paths), members)
 
 
@@ -216,25 +224,27 @@ def drop_near_duplicates(
 
 def distinct_topic_paths(
     profiles: DataFrame,
+    unique: bool = False,
     min_talks: int = MIN_TALKS,
     max_paths: int = MAX_PATHS,
     threshold: float = NEAR_DUPLICATE,
 ) -> DataFrame:
     """The largest topic paths without near-duplicates; the cut comes first."""
-    members = topic_members(profiles)
+    members = topic_members(profiles, unique)
     ranked = rank_paths(members, "topic", min_talks, max_paths)
     return path_documents(drop_near_duplicates(ranked, members, threshold), members)
 
 
 def build_paths(
     profiles: DataFrame,
+    unique: bool = False,
     min_talks: int = MIN_TALKS,
     max_paths: int = MAX_PATHS,
     threshold: float = NEAR_DUPLICATE,
 ) -> DataFrame:
     """Speaker paths and distinct topic paths in one table."""
-    speakers = speaker_paths(profiles, min_talks, max_paths)
-    topics = distinct_topic_paths(profiles, min_talks, max_paths, threshold)
+    speakers = speaker_paths(profiles, unique, min_talks, max_paths)
+    topics = distinct_topic_paths(profiles, unique, min_talks, max_paths, threshold)
     return speakers.unionByName(topics).drop("rank")
 
 

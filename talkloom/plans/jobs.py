@@ -57,5 +57,5 @@ def refresh_paths(spark: SparkSession, base: str) -> DataFrame:
     profiles = read_collection(spark, base, "tedx_videos")
     if profiles.isEmpty():
         raise ValueError("no talks found, paths left as they are")
-    write_collection(paths.build_paths(profiles), base, "paths")
+    write_collection(paths.build_paths(profiles, unique=True), base, "paths")
     return paths.path_summary(read_collection(spark, base, "paths"), profiles)
