@@ -250,12 +250,17 @@ def build_paths(
 
 def path_summary(paths: DataFrame, profiles: DataFrame) -> DataFrame:
     """One row: speaker, topic and all paths, and the talks analysed."""
-    first_pages = paths.where(F.col("page") == 0)
-    counts = first_pages.agg(
-        F.count_if(F.col("type") == "speaker").alias("speaker_paths"),
-        F.count_if(F.col("type") == "topic").alias("topic_paths"),
-        F.count("*").alias("total_paths"),
+    no_type = F.lit(None).cast("string").alias("type")
+    analysed = profiles.agg(F.count("*").alias("talks")).select(no_type, "talks")
+    return (
+        paths.select("type", "title")
+        .distinct()
+        .select("type", F.lit(0).cast("bigint").alias("talks"))
+        .unionByName(analysed)
+        .agg(
+            F.count_if(F.col("type") == "speaker").alias("speaker_paths"),
+            F.count_if(F.col("type") == "topic").alias("topic_paths"),
+            F.count("type").alias("total_paths"),
+            F.sum("talks").alias("videos_analyzed"),
+        )
     )
-    analysed = profiles.agg(F.count("*").alias("videos_analyzed"))
-    # One row beside one row.
-    return counts.join(F.broadcast(analysed), F.lit(True))

@@ -105,24 +105,30 @@ def _best_lists(
     met = _two_tag_partners(sets, k + 1)
     if wide_partners is not None:
         met = met.unionByName(wide_partners)
-    met = met.where(F.col("video_id") != F.col("candidate")).withColumn("is_related", F.lit(0))
+    loss = (-(F.col("is_related") * related_weight + F.col("shared") * tag_weight)).cast("double")
+    best_first = [F.asc("loss"), F.asc("candidate")]
+    found = met.where(F.col("video_id") != F.col("candidate")).withColumn("is_related", F.lit(0))
     if linked is not None:
-        met = met.unionByName(
-            linked.select(
-                F.col("source_video_id").alias("video_id"),
-                F.col("candidate_video_id").alias("candidate"),
-                F.col("common_tag_count").alias("shared"),
-                F.lit(1).alias("is_related"),
-            )
+        # Links beyond a talk's best k cannot be in its list, so a hub of links
+        # is cut before it meets the partners.
+        links = linked.select(
+            F.col("source_video_id").alias("video_id"),
+            F.col("candidate_video_id").alias("candidate"),
+            F.col("common_tag_count").alias("shared"),
+            F.lit(1).alias("is_related"),
         )
-    loss = -(F.col("is_related") * related_weight + F.col("shared") * tag_weight)
+        links = _smallest(links.withColumn("loss", loss), ["video_id"], best_first, k)
+        found = found.unionByName(links.drop("loss"))
+    # A talk has a bounded number of rows by now, so one shuffle on the talk
+    # serves the maximum, the ranking and the list.
     rated = (
-        met.groupBy("video_id", "candidate")
+        found.repartition("video_id")
+        .groupBy("video_id", "candidate")
         .agg(F.max("is_related").alias("is_related"), F.max("shared").alias("shared"))
-        .withColumn("loss", loss.cast("double"))
+        .withColumn("loss", loss)
     )
     known = (
-        _smallest(rated, ["video_id"], [F.asc("loss"), F.asc("candidate")], k)
+        _smallest(rated, ["video_id"], best_first, k)
         .groupBy("video_id")
         .agg(
             F.sort_array(

@@ -7,6 +7,7 @@ outlive any executor; like checkpoints they are left to that folder's upkeep.
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="talkloom-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder the session names; a local session without one gets its own."""
     named = spark.conf.get(_SETTING, None)
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="talkloom-")
-        spark.conf.set(_SETTING, named)
+        named = _own_dir()
     return named.rstrip("/")
 
 
