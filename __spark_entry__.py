@@ -5,6 +5,7 @@ Nested results are flattened, so that both engines give the same plain columns.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +13,20 @@ from pyspark.sql import functions as F
 
 from talkloom.operators import catalog, lookup, paths, recommend, search, stats
 from talkloom.sources import bindings
-from talkloom.sources.scratch import keep
+from talkloom.sources.scratch import keep, use_when_unset
+
+try:
+    import corpus_pipeline
+    from talkloom.llm import queries as llm
+except ModuleNotFoundError as missing:
+    # the folder may be left out; anything else that is missing is an error
+    if missing.name not in ("corpus_pipeline", "talkloom.llm"):
+        raise
+    corpus_pipeline = llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+_HERE = os.path.dirname(os.path.abspath(__file__))
+use_when_unset("/tmp/checkpoints/talkloom")
 ASKED_TALK = "17"
 ASKED_TAG = "PART-17"
 ASKED_SPEAKER = "customer#0+1?7$"
@@ -235,8 +247,30 @@ def _get_talks(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("tags", _joined("tags"))
 
 
+def _with_package(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """Let Python workers find the package also where the session was started elsewhere."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if _HERE not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([_HERE, *filter(None, paths)])
+        return query(spark, sf)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
+    found = core_queries()
+    if llm:
+        found |= {name: _with_package(query) for name, query in llm.queries().items()}
+        found["pipeline"] = _with_package(corpus_pipeline.run)
+    return found
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries that need nothing but the library proper."""
     return {
         "enrich_catalog": _enrich_catalog,
         "tag_lists": _tag_lists,
@@ -431,7 +465,11 @@ stats as (
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results in DuckDB SQL, by the direct definition."""
+    """The same results in DuckDB SQL, by the direct definition, where SQL can express them."""
+    return core_oracle_sql() | (llm.oracle_sql() if llm else {})
+
+
+def core_oracle_sql() -> dict[str, str]:
     top_topics = _ranked_paths("topic", "topic_members", "top_topics")
     top_speakers = _ranked_paths("speaker", "speaker_members", "top_speakers")
     topic_rows = _path_rows("topic", "topic_members", "kept_topics")

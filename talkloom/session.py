@@ -15,13 +15,19 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and benchmarks."""
+def local_session(
+    cores: str = "8",
+    partitions: int = 8,
+    memory: str = "8g",
+    scratch: str = "/tmp/checkpoints/talkloom",
+) -> SparkSession:
+    """A local session for tests and benchmarks; ``scratch`` is where stored tables go."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("talkloom")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )

@@ -6,27 +6,28 @@ outlive any executor; like checkpoints they are left to that folder's upkeep.
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_default: str | None = None
 
 
-@cache
-def _own_dir() -> str:
-    return tempfile.mkdtemp(prefix="talkloom-")
+def use_when_unset(path: str) -> None:
+    """Name the folder for local sessions that name none themselves."""
+    global _default
+    _default = path
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder the session names; a local session without one gets its own."""
+    """The folder the session names, or for a local session the one set for this process."""
     named = spark.conf.get(_SETTING, None)
+    master = spark.sparkContext.master
+    if named is None and (master == "local" or master.startswith("local[")):
+        named = _default
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        named = _own_dir()
+        raise ValueError(f"set {_SETTING} to a folder that all executors share")
     return named.rstrip("/")
 
 

@@ -19,9 +19,9 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.core_queries()) == set(entry.core_oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.core_queries()))
 def test_query(spark, con, name):
-    assert compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) > 0
+    assert compare(spark, con, SF_DIR, entry.core_queries()[name], entry.core_oracle_sql()[name]) > 0

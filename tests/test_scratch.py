@@ -20,9 +20,14 @@ def test_cluster_needs_a_named_folder():
         scratch.scratch_dir(_Session("yarn", None))
 
 
-def test_local_session_keeps_one_folder():
-    first = scratch.scratch_dir(_Session("local[2]", None))
-    assert first == scratch.scratch_dir(_Session("local[2]", None))
+def test_local_session_takes_the_folder_set_for_it(monkeypatch):
+    monkeypatch.setattr(scratch, "_default", None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_dir(_Session("local[2]", None))
+    scratch.use_when_unset("/shared/scratch")
+    assert scratch.scratch_dir(_Session("local[2]", None)) == "/shared/scratch"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_dir(_Session("local-cluster[2,1,1024]", None))
 
 
 def test_keep_gives_the_same_rows(spark):
