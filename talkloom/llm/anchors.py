@@ -154,8 +154,7 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text", *kept: str)
 
 def _class_contexts(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
     """The text of the first context of each class."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(bitmap(classes, "doc"))
+    bits = bitmap(classes, "doc")
     wanted = classes.groupBy("doc", "version").agg(
         F.collect_list(F.struct("anchor", "content", "place")).alias("list")
     )
@@ -336,7 +335,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataFr
 
     Texts that surely have no spans stay out of the shuffle.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(spans, "doc"))
+    bits = bitmap(spans, "doc")
     named = keyed(docs.select(key, text, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), key, text, "row")
     some = among(named, "doc", bits).join(spans, ["doc", "version"], "left")
     none = among(named, "doc", bits, wanted=False)

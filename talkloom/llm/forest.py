@@ -261,7 +261,7 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text
     """cls and text of the classes in ``pairs``; other texts stay out of the shuffle."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     heads = classes.join(wanted, "cls", "left_semi").select("cls", "head", "version")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(heads, "head"))
+    bits = bitmap(heads, "head")
     rows = docs.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("head"),
         F.hash(text).alias("version"),
@@ -354,7 +354,7 @@ def deduplicated(
     last = F.lit(-1).cast("bigint")  # a null id has a slot of its own in the bitmap
     named = named.withColumn("_slot_key", F.coalesce(F.col("_key").cast("bigint"), last))
     noted = doubt.select(F.coalesce(F.col("_key").cast("bigint"), last).alias("_slot_key"))
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(noted, "_slot_key"))
+    bits = bitmap(noted, "_slot_key")
     sure = among(named, "_slot_key", bits, wanted=False).select("row.*")
     rest = among(named, "_slot_key", bits).alias("n")
     out = doubt.where("_gone").alias("g")

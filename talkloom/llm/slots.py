@@ -8,41 +8,33 @@ more rows through, and results stay the same.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 1 << 23
+_PIECE = 1 << 15
+
+
+def _slot(column: str):
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(BITS))
+
+
+def bitmap(keys: DataFrame, column: str) -> DataFrame:
+    """The bitmap of a column in pieces of 4 KB, at most BITS / 32,768 rows."""
+    slot = _slot(column)
+    return keys.groupBy(F.shiftright(slot, 15).alias("_piece")).agg(
+        F.bitmap_construct_agg(slot.bitwiseAND(F.lit(_PIECE - 1))).alias("_bits")
+    )
 
 
-def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """The bitmap of a column, built on the executors from pieces of 4 KB."""
-    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(BITS))
-    pieces = (
-        keys.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("piece"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits"))
+def among(df: DataFrame, column: str, bits: DataFrame, wanted: bool = True) -> DataFrame:
+    """The rows whose key may be noted in ``bits`` (``wanted``) or surely is not."""
+    slot = _slot(column)
+    joined = df.withColumn("_slot", slot).join(
+        F.broadcast(bits), F.shiftright("_slot", 15) == F.col("_piece"), "left"
     )
-    bits = np.zeros(BITS // 8, dtype=np.uint8)
-    for row in pieces.toLocalIterator():  # at most BITS / 32,768 pieces
-        start = (row["piece"] - 1) * 4096
-        bits[start : start + 4096] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return bits
-
-
-def among(df: DataFrame, column: str, bits, wanted: bool = True) -> DataFrame:
-    """The rows whose key may be noted (``wanted``) or surely is not. ``bits`` is a broadcast."""
-    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(BITS)).cast("int")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            noted = (bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            rows = batch.filter(pa.array(noted.astype(bool) == wanted))
-            yield rows.select(range(batch.num_columns - 1))
-
-    return df.select("*", slot.alias("_slot")).mapInArrow(run, fields)
+    place = F.col("_slot").bitwiseAND(F.lit(_PIECE - 1)).cast("int")
+    byte = F.conv(F.hex(F.expr("substring(_bits, (_slot & 32767) div 8 + 1, 1)")), 16, 10)
+    power = F.pow(F.lit(2), place.bitwiseAND(F.lit(7))).cast("int")
+    noted = F.coalesce(byte.cast("int").bitwiseAND(power) != 0, F.lit(False))
+    return joined.where(noted if wanted else ~noted).select(df.columns)

@@ -1,6 +1,6 @@
 """Words and windows of whole texts as numpy arrays, for use inside tasks.
 
-Texts come as Arrow batches. A batch is worked on in slices of a few megabytes,
+Texts come as Arrow batches. A batch is worked on in slices of half a megabyte,
 so memory stays bounded however many rows a batch holds; a single text is never
 cut. A word is a maximal run of bytes other than space and \\t \\n \\v \\f \\r, which
 in UTF-8 is the same as the pattern ``[^\\x20\\x09-\\x0D]+`` on characters.
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 WORD = r"[^\x20\x09-\x0D]+"
 
 _BLANK = np.zeros(256, dtype=bool)
