@@ -290,9 +290,9 @@ def repeated_windows(
     (start, end) in symbols of the text, in no order and possibly overlapping.
     """
     counted = _anchor_rows(docs, scheme, True).groupBy("anchor").agg(F.count("*").alias("n"))
-    shared = _anchor_rows(docs, scheme, False).join(
-        counted.where("n > 1").select("anchor"), "anchor", "left_semi"
-    )
+    # stored, so that both sides of the join are exchanges of its own, which Spark can split
+    common = store(counted.where("n > 1").select("anchor"), "common-anchors")
+    shared = _anchor_rows(docs, scheme, False).join(common, "anchor", "left_semi")
     shared = store(shared, "shared-anchors")
     classes = shared.groupBy("anchor", "content").agg(
         F.min(F.struct("doc", "place", "version")).alias("head")

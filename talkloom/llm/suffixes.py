@@ -101,24 +101,75 @@ def suffix_array(symbols: list[int]) -> list[int]:
     return result
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the longest common prefix."""
+    n = min(len(a), len(b))
+    a, b = a[:n], b[:n]
+    if a == b:
+        return n
+    differ = int.from_bytes(a, "big") ^ int.from_bytes(b, "big")
+    return n - (differ.bit_length() + 7) // 8
+
+
+def _reach(strings: list[bytes]) -> list[int]:
+    """For each string, the longest prefix it has in common with another."""
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    reach = [0] * len(strings)
+    for i, j in zip(order, order[1:]):
+        common = _common(strings[i], strings[j])
+        reach[i] = max(reach[i], common)
+        reach[j] = max(reach[j], common)
+    return reach
+
+
+def _stretches(group: Group, found: list[list[int]]) -> list[tuple[int, int, int]]:
+    """The distinct parts of a group's contexts that can hold equal windows: context, start, end.
+
+    No context agrees with another further to the left or right of the anchor than the
+    longest common prefixes say, so windows beyond are unlike all others. Of equal
+    parts the earliest stays; all windows of the others go to ``found``.
+    """
+    docs, places, texts = group
+    leads = [int(place) & 255 for place in places]
+    left = _reach([text[:lead][::-1] for text, lead in zip(texts, leads)])
+    right = _reach([text[lead:] for text, lead in zip(texts, leads)])
+    first: dict[tuple[bytes, int], tuple] = {}
+    for c, (text, lead) in enumerate(zip(texts, leads)):
+        start, end = lead - left[c], lead + right[c]
+        if end - start < WINDOW:
+            continue
+        own = (int(docs[c]), (int(places[c]) >> 16) + start, c, start, end)
+        key = (text[start:end], left[c])
+        other = first.setdefault(key, own)
+        if other is not own:
+            if own < other:
+                first[key], own = own, other
+            _, _, late, start, end = own
+            found[late].extend(range(start, end - WINDOW + 1))
+    return [own[2:] for own in first.values()]
+
+
 def repeats(groups: list[Group]) -> list[list[list[int]]]:
     """For each context of each group, its windows that also occur earlier."""
     data = bytearray()
     owner: list[tuple[int, int]] = []  # group and context of every place, or no window there
     window: list[int] = []
     order: list[tuple[int, int]] = []
-    for g, (docs, places, texts) in enumerate(groups):
-        for c, text in enumerate(texts):
-            count = len(text) - WINDOW + 1
+    found: list[list[list[int]]] = [[[] for _ in texts] for _, _, texts in groups]
+    for g, group in enumerate(groups):
+        docs, places, texts = group
+        parts = _stretches(group, found[g])
+        if len(parts) < 2:
+            continue  # nothing left to compare with
+        for c, start, end in parts:
+            count = end - start - WINDOW + 1
             begin = int(places[c]) >> 16
             doc = int(docs[c])
             owner += [(g, c)] * count + [(-1, -1)] * WINDOW
-            window += list(range(count)) + [-1] * WINDOW
-            order += [(doc, begin + w) for w in range(count)] + [(0, 0)] * WINDOW
-            data += text
+            window += list(range(start, start + count)) + [-1] * WINDOW
+            order += [(doc, begin + w) for w in range(start, start + count)] + [(0, 0)] * WINDOW
+            data += texts[c][start:end]
             data.append(0)
-    symbols = list(data)
-    found: list[list[list[int]]] = [[[] for _ in texts] for _, _, texts in groups]
 
     def close(run: list[int]) -> None:
         earliest = min(order[at] for at in run)
@@ -129,7 +180,7 @@ def repeats(groups: list[Group]) -> list[list[list[int]]]:
 
     run: list[int] = []
     last = b""
-    for at in suffix_array(symbols):
+    for at in suffix_array(list(data)):
         if window[at] < 0:
             continue
         text = bytes(data[at : at + WINDOW])
