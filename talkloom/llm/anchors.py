@@ -344,12 +344,17 @@ def with_spans(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataFr
     return some.select(columns).unionByName(none.select(columns))
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """Spans as sorted, disjoint and not touching."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans or []):
-        if out and start <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((start, end))
-    return out
+def merged_spans(column: pa.Array) -> Iterator[list[tuple[int, int]]]:
+    """The spans of each row, sorted, disjoint and not touching; null counts as none."""
+    offsets = column.offsets.to_numpy()
+    fields = column.values
+    starts, ends = (fields.field(i).to_numpy() for i in (0, 1))
+    for a, b, some in zip(offsets[:-1], offsets[1:], column.is_valid().to_numpy(zero_copy_only=False)):
+        if a == b or not some:
+            yield []
+            continue
+        order = np.argsort(starts[a:b], kind="stable")
+        start, end = starts[a:b][order], np.maximum.accumulate(ends[a:b][order])
+        fresh = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
+        last = np.concatenate((fresh[1:], [len(end)])) - 1
+        yield list(zip(start[fresh].tolist(), end[last].tolist()))

@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from talkloom.llm.anchors import Group, Scheme, keyed, merged, repeated_windows, with_spans, word_symbols
+from talkloom.llm.anchors import Group, Scheme, keyed, merged_spans, repeated_windows, with_spans, word_symbols
 
 WINDOW = 13
 SCHEME = Scheme(word_symbols, window=WINDOW, k=4, same_document=False)
@@ -126,10 +126,10 @@ def digests(rows: DataFrame, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             out: list[list] = [[], [], []]
             texts = batch.column(1).cast(pa.binary())
-            for value, found in zip(texts, batch.column(2)):
+            for value, spans in zip(texts, merged_spans(batch.column(2))):
                 words = (value.as_py() or b"").split()
                 kept, at = [], 0
-                for start, end in merged(found.as_py()):
+                for start, end in spans:
                     kept += words[at:start]
                     at = end
                 kept += words[at:]
@@ -167,8 +167,8 @@ def cleaned(rows: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             left = [
-                None if not t.is_valid else without(t.as_py(), merged(s.as_py()))
-                for t, s in zip(texts, batch.column(2))
+                without(t.as_py(), spans) if t.is_valid else None
+                for t, spans in zip(texts, merged_spans(batch.column(2)))
             ]
             column = pa.array(left, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), column], ["row", "text"])

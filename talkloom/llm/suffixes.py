@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from talkloom.llm.anchors import Group, Scheme, byte_symbols, keyed, merged, repeated_windows, with_spans
+from talkloom.llm.anchors import Group, Scheme, byte_symbols, keyed, merged_spans, repeated_windows, with_spans
 
 WINDOW = 100
 SCHEME = Scheme(byte_symbols, window=WINDOW, k=24, same_document=True)
@@ -219,9 +219,8 @@ def digests(rows: DataFrame, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             out: list[list] = [[], [], [], []]
             texts = batch.column(1).cast(pa.binary())
-            for value, found in zip(texts, batch.column(2)):
+            for value, spans in zip(texts, merged_spans(batch.column(2))):
                 data = value.as_py() or b""
-                spans = merged(found.as_py())
                 kept = kept_bytes(data, spans)
                 row = (len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
                 for column, item in zip(out, row):
