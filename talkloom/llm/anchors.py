@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.arrow import map_batches
+from talkloom.llm.arrow import map_batches, map_partitions
 from talkloom.llm.slots import among, bitmap
 from talkloom.llm.words import Slice, SpanHash, mix, slices, words
 
@@ -241,7 +241,7 @@ def _resolved(
             )
 
     sorted_rows = rows.repartition("anchor").sortWithinPartitions("anchor", "doc", "place")
-    return sorted_rows.mapInArrow(run, "anchor bigint, content bigint, windows array<int>")
+    return map_partitions(sorted_rows, run, "anchor bigint, content bigint, windows array<int>")
 
 
 def _window_rows(rows: DataFrame, scheme: Scheme) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.arrow import map_batches
+from talkloom.llm.arrow import map_batches, map_partitions
 from talkloom.llm.components import components
 from talkloom.llm.slots import among, bitmap
 from talkloom.llm.words import Slice, SpanHash, lower_ascii, mix, slices, words
@@ -182,10 +182,9 @@ def _neighbour_pairs(regions: DataFrame) -> DataFrame:
     ordered = regions.repartitionByRange("tree", "order", "cls").sortWithinPartitions(
         "tree", "order", "cls"
     )
-    found = ordered.select(F.spark_partition_id().alias("part"), "tree", "order", "cls").mapInArrow(
-        run, "part int, place int, tree int, region binary, cls binary, other binary"
-    )
-    return found
+    rows = ordered.select(F.spark_partition_id().alias("part"), "tree", "order", "cls")
+    schema = "part int, place int, tree int, region binary, cls binary, other binary"
+    return map_partitions(rows, run, schema)
 
 
 def _border_pairs(found: DataFrame) -> DataFrame:

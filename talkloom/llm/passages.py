@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from talkloom.llm.arrow import map_partitions
 from talkloom.llm.anchors import Group, Scheme, keyed, merged_spans, repeated_windows, with_spans, word_symbols
 
 WINDOW = 13
@@ -141,9 +142,8 @@ def digests(rows: DataFrame, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["key", "n_words", "n_removed", "kept_sha256"])
 
     schema = f"key {kind}, n_words bigint, n_removed bigint, kept_sha256 string"
-    return (
-        rows.select(f"row.{key}", "text", "spans").mapInArrow(run, schema).withColumnRenamed("key", key)
-    )
+    found = map_partitions(rows.select(f"row.{key}", "text", "spans"), run, schema)
+    return found.withColumnRenamed("key", key)
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -173,4 +173,4 @@ def cleaned(rows: DataFrame) -> DataFrame:
             column = pa.array(left, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), column], ["row", "text"])
 
-    return rows.select("row", "text", "spans").mapInArrow(run, f"row {kind}, text string")
+    return map_partitions(rows.select("row", "text", "spans"), run, f"row {kind}, text string")

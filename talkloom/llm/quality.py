@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkloom.llm.arrow import map_partitions
 from talkloom.llm.rules import STATISTICS, batch_statistics, features, labelled_sample, text_statistics
 
 SAMPLE_ROWS = 20_000
@@ -88,7 +89,7 @@ def _with_evidence(docs: DataFrame, model: Classifier) -> DataFrame:
                 )
 
     kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"row {kind}, evidence double")
+    return map_partitions(packed, run, f"row {kind}, evidence double")
 
 
 def _strength(groups: DataFrame, mean) -> float:

@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from talkloom.llm.arrow import map_partitions
 from talkloom.llm.anchors import Group, Scheme, byte_symbols, keyed, merged_spans, repeated_windows, with_spans
 
 WINDOW = 100
@@ -232,6 +233,5 @@ def digests(rows: DataFrame, key: str = "doc_id") -> DataFrame:
             )
 
     schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return (
-        rows.select(f"row.{key}", "text", "spans").mapInArrow(run, schema).withColumnRenamed("key", key)
-    )
+    found = map_partitions(rows.select(f"row.{key}", "text", "spans"), run, schema)
+    return found.withColumnRenamed("key", key)

@@ -17,7 +17,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +29,8 @@ LONG_TEXT = 1 << 16
 _SAFE = re.compile(r"(?<=\S)(?=\s)")
 
 
-@lru_cache(maxsize=4)
 def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
-    """The tokenizer of a rank file, without special tokens."""
+    """The tokenizer of a rank file, without special tokens. Made once a task and then freed."""
     with open(rank_file, "rb") as file:
         pairs = (line.split() for line in file if line.strip())
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
@@ -65,8 +63,7 @@ def encode_texts(
 ) -> DataFrame:
     """Key and ``ids`` (array of int) of every text."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoding(rank_file, pattern)
+    def run(batch: pa.RecordBatch, tokenizer: tiktoken.Encoding) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             ids = [encode(tokenizer, x.as_py() or "") for x in part.column(1)]
@@ -74,9 +71,11 @@ def encode_texts(
             yield pa.RecordBatch.from_arrays([part.column(0), column], ["key", "ids"])
 
     kind = dict(docs.dtypes)[key]
-    return map_batches(docs.select(key, text), run, f"key {kind}, ids array<int>").withColumnRenamed(
-        "key", key
+    rows = docs.select(key, text)
+    found = map_batches(
+        rows, run, f"key {kind}, ids array<int>", lambda: encoding(rank_file, pattern)
     )
+    return found.withColumnRenamed("key", key)
 
 
 def decode_ids(
@@ -84,8 +83,7 @@ def decode_ids(
 ) -> DataFrame:
     """Key and ``bytes`` (binary) of every list of ids; null counts as empty."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoding(rank_file, pattern)
+    def run(batch: pa.RecordBatch, tokenizer: tiktoken.Encoding) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             raw = [tokenizer.decode_bytes(x.as_py() or []) for x in part.column(1)]
@@ -93,9 +91,10 @@ def decode_ids(
             yield pa.RecordBatch.from_arrays([part.column(0), column], ["key", "bytes"])
 
     kind = dict(rows.dtypes)[key]
-    return map_batches(rows.select(key, ids), run, f"key {kind}, bytes binary").withColumnRenamed(
-        "key", key
+    found = map_batches(
+        rows.select(key, ids), run, f"key {kind}, bytes binary", lambda: encoding(rank_file, pattern)
     )
+    return found.withColumnRenamed("key", key)
 
 
 def token_digests(
@@ -112,9 +111,12 @@ def token_digests(
     decoded_sha256 (the decoded bytes) and, if asked for, ids (array of int).
     """
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def start() -> tuple[tiktoken.Encoding, list[str]]:
         tokenizer = encoding(rank_file, pattern)
-        names = _decimals(rank_file, pattern)
+        return tokenizer, [str(i) for i in range(tokenizer.n_vocab)]
+
+    def run(batch: pa.RecordBatch, made: tuple) -> Iterator[pa.RecordBatch]:
+        tokenizer, names = made
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             counts, ids_digests, raw_digests, rows = [], [], [], []
@@ -137,9 +139,5 @@ def token_digests(
     kind = dict(docs.dtypes)[key]
     schema = f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" if with_ids else ""
-    return map_batches(docs.select(key, text), run, schema).withColumnRenamed("key", key)
-
-
-@lru_cache(maxsize=4)
-def _decimals(rank_file: str, pattern: str) -> list[str]:
-    return [str(i) for i in range(encoding(rank_file, pattern).n_vocab)]
+    found = map_batches(docs.select(key, text), run, schema, start)
+    return found.withColumnRenamed("key", key)
