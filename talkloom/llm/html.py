@@ -146,6 +146,7 @@ def tokens(page: str) -> Iterator[Token]:
                 yield Token("tag br", " ", block, bool(stack) and stack[-1][1], content, 0)
             continue
         block += 1
+        furniture = bool(stack) and stack[-1][1]
         if closing:
             open_at = max((i for i, (n, _) in enumerate(stack) if n == name), default=-1)
             if open_at >= 0:
@@ -161,9 +162,8 @@ def tokens(page: str) -> Iterator[Token]:
             dropped = dropped or _furniture(name, found[3], content > 0)
             stack.append((name, dropped))
             content += name in _CONTENT
-        yield Token(
-            f"tag {'/' if closing else ''}{name}", None, block, bool(stack) and stack[-1][1], content
-        )
+            furniture = dropped
+        yield Token(f"tag {'/' if closing else ''}{name}", None, block, furniture, content)
 
 
 @dataclass

@@ -145,10 +145,12 @@ def fit_router(rows: DataFrame, count: int, top: int, recall: float, sample_rows
     """Fit on at most ``sample_rows`` distinct vectors, chosen by a hash."""
     spark = rows.sparkSession
     chosen = rows.orderBy(F.xxhash64("v"), "v").limit(sample_rows).select("v").toPandas()
-    x = np.array(chosen["v"].tolist(), dtype=np.float64).reshape(len(chosen), -1)
+    if not len(chosen):
+        return Router(np.zeros((0, 1)), np.zeros(1), 1)
+    x = np.array(chosen["v"].tolist(), dtype=np.float64)
     parts = int(max(1, min(np.sqrt(count) / 16, len(x) / 64, 1024)))
     if parts <= 1:
-        return Router(np.zeros((x.shape[1] if x.size else 0, 1)), np.zeros(1), 1)
+        return Router(np.zeros((x.shape[1], 1)), np.zeros(1), 1)
     rng = np.random.default_rng(11)
     held = rng.permutation(len(x))[: min(HELD_OUT, len(x) // 8)]
     kept = np.setdiff1d(np.arange(len(x)), held)
