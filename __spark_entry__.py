@@ -28,6 +28,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 _HERE = os.path.dirname(os.path.abspath(__file__))
 use_when_unset("/tmp/checkpoints/talkloom")
 ASKED_TALK = "17"
+ASKED_USER = "17"
 ASKED_TAG = "PART-17"
 ASKED_SPEAKER = "customer#0+1?7$"
 
@@ -42,15 +43,37 @@ def _orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return catalog.clean_tags(tables.tags), catalog.clean_related(tables.related)
 
 
+_written: dict[tuple, DataFrame] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A collection written once for each session and folder, as the jobs do, then read."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _written:
+        _written[key] = keep(build(), name)
+    return _written[key]
+
+
 def _orders_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    tables = bindings.orders_catalog(spark, sf)
-    return catalog.talk_profiles(tables.talks, tables.tags)
+    def build() -> DataFrame:
+        tables = bindings.orders_catalog(spark, sf)
+        return catalog.talk_profiles(tables.talks, tables.tags)
+
+    return _stored(spark, sf, "videos", build)
+
+
+def _orders_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf, "watch-next", lambda: recommend.watch_next(*_orders(spark, sf)))
 
 
 def _documents_profiles(spark: SparkSession, sf: str) -> DataFrame:
     """Written first, as paths are built from the stored profiles and read them often."""
-    tables = bindings.documents_catalog(spark, sf)
-    return keep(catalog.talk_profiles(tables.talks, tables.tags), "videos")
+
+    def build() -> DataFrame:
+        tables = bindings.documents_catalog(spark, sf)
+        return catalog.talk_profiles(tables.talks, tables.tags)
+
+    return _stored(spark, sf, "document-videos", build)
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +99,6 @@ def _tag_lists(spark: SparkSession, sf: str) -> DataFrame:
     lists = catalog.tag_lists(bindings.orders_catalog(spark, sf).tags)
     return lists.select(
         F.col("_id").alias("video_id"),
-        F.col("page").cast("bigint").alias("page"),
         _joined("tags"),
         F.size("tags").cast("bigint").alias("n_tags"),
     )
@@ -87,7 +109,8 @@ def _clean_talks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _talk_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    return _orders_profiles(spark, sf).withColumn("tags", _joined("tags"))
+    tables = bindings.orders_catalog(spark, sf)
+    return catalog.talk_profiles(tables.talks, tables.tags).withColumn("tags", _joined("tags"))
 
 
 def _common_tag_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +160,7 @@ def _watch_next(spark: SparkSession, sf: str) -> DataFrame:
 
 def _resolve_watch_next(spark: SparkSession, sf: str) -> DataFrame:
     answers = lookup.resolve_watch_next(
-        _requests(spark, sf), recommend.watch_next(*_orders(spark, sf)), _orders_profiles(spark, sf)
+        _requests(spark, sf), _orders_lists(spark, sf), _orders_profiles(spark, sf)
     )
     rows = answers.select(
         "talk_id", "total", "message", F.posexplode_outer("recommendations").alias("pos", "rec")
@@ -156,7 +179,7 @@ def _resolve_watch_next(spark: SparkSession, sf: str) -> DataFrame:
 
 def _get_watch_next(spark: SparkSession, sf: str) -> DataFrame:
     rows = lookup.get_watch_next(
-        _requests(spark, sf), recommend.watch_next(*_orders(spark, sf)), _orders_profiles(spark, sf)
+        _requests(spark, sf), _orders_lists(spark, sf), _orders_profiles(spark, sf)
     )
     return rows.withColumns(
         {
@@ -169,25 +192,20 @@ def _get_watch_next(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tag_paths(spark: SparkSession, sf: str) -> DataFrame:
     tables = bindings.orders_catalog(spark, sf)
-    documents = paths.tag_paths(catalog.clean_talks(tables.talks), catalog.clean_tags(tables.tags))
-    return documents.withColumns(
-        {
-            "page": F.col("page").cast("bigint"),
-            "video_ids": _joined("video_ids"),
-            "video_titles": _joined("video_titles"),
-        }
-    )
+    return paths.tag_paths(catalog.clean_talks(tables.talks), catalog.clean_tags(tables.tags))
+
 
+def _flat_paths(members: DataFrame) -> DataFrame:
+    return members.select("path_id", "title", "type", "video_count", "video_id")
 
-def _flat_paths(documents: DataFrame) -> DataFrame:
-    return documents.select(
-        "path_id",
-        "title",
-        "type",
-        F.col("page").cast("bigint").alias("page"),
-        _joined("videos"),
-        "video_count",
+
+def _clean_copied_talks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third talk twice, the copy with another slug and speaker."""
+    talks = bindings.orders_catalog(spark, sf).talks
+    copies = talks.where("cast(id as bigint) % 3 = 0").withColumns(
+        {"slug": F.reverse("slug"), "speakers": F.concat(F.lit("A "), F.col("speakers"))}
     )
+    return catalog.clean_talks(talks.unionByName(copies))
 
 
 def _speaker_paths(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,6 +245,36 @@ def _learning_stats_requested(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _learning_stats_of_one(spark: SparkSession, sf: str) -> DataFrame:
+    """One user with records and one without, each by its id."""
+    tables = bindings.events_progress(spark, sf), bindings.events_quizzes(spark, sf)
+    known = stats.learning_stats(*tables, user_id=ASKED_USER)
+    return known.unionByName(stats.learning_stats(*tables, user_id="nobody"))
+
+
+def _learning_stats_odd(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as progress and quizzes, with long, tiny, huge and unreadable numbers."""
+    items = spark.read.parquet(f"{sf}/lineitem.parquet")
+    kind = F.col("l_linenumber") % 5
+    price = F.col("l_extendedprice")
+    number = (
+        F.when(kind == 0, F.lit(None).cast("string"))
+        .when(kind == 1, F.concat(price.cast("string"), F.lit(" s")))
+        .when(kind == 2, (price / 7e15).cast("string"))
+        .when(kind == 3, (price * 1e9).cast("string"))
+        .otherwise((price / 7).cast("string"))
+    )
+    rows = items.select(
+        F.col("l_suppkey").cast("string").alias("userId"),
+        F.col("l_partkey").cast("string").alias("talkId"),
+        number.alias("progressSeconds"),
+        number.alias("score"),
+        F.lit(True).alias("watched"),
+        F.lit(True).alias("completed"),
+    )
+    return stats.learning_stats(rows, rows).select("userId", "talksWatched", "quizzesCompleted", "minutesViewed")
+
+
 def _search_by_tag(spark: SparkSession, sf: str) -> DataFrame:
     hits = search.search_by_tag(_orders_profiles(spark, sf), ASKED_TAG)
     return hits.withColumn("tags", _joined("tags"))
@@ -275,6 +323,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enrich_catalog": _enrich_catalog,
         "tag_lists": _tag_lists,
         "clean_talks": _clean_talks,
+        "clean_copied_talks": _clean_copied_talks,
         "clean_tags": lambda spark, sf: _orders(spark, sf)[0],
         "clean_related": lambda spark, sf: _orders(spark, sf)[1],
         "talk_profiles": _talk_profiles,
@@ -294,6 +343,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "path_summary": _path_summary,
         "learning_stats": _learning_stats,
         "learning_stats_requested": _learning_stats_requested,
+        "learning_stats_of_one": _learning_stats_of_one,
+        "learning_stats_odd": _learning_stats_odd,
         "search_by_tag": _search_by_tag,
         "search_by_speaker": _search_by_speaker,
         "get_talk": _get_talk,
@@ -324,9 +375,8 @@ related as (
     select distinct id as source_video_id, related_id as related_video_id
     from raw_related where id is not null and related_id is not null),
 clean as (
-    select id as video_id, min(slug) as slug, min(speakers) as speakers, min(title) as title,
-           min(url) as url
-    from talks where id is not null group by id),
+    select id as video_id, slug, speakers, title, url from talks where id is not null
+    qualify row_number() over (partition by id order by slug, speakers, title, url) = 1),
 tag_sets as (
     select video_id, string_agg(tag, ',' order by tag) as tags from tags group by video_id),
 profiles as (
@@ -409,9 +459,8 @@ def _ranked_paths(kind: str, members: str, name: str) -> str:
 
 def _path_rows(kind: str, members: str, ranked: str) -> str:
     return f"""
-select {_slug(kind)} as path_id, title, '{kind}' as type, 0::bigint as page,
-       string_agg(video_id, ',' order by video_id) as videos, n as video_count
-from {ranked} join {members} using (title) group by rk, title, n"""
+select {_slug(kind)} as path_id, title, '{kind}' as type, n as video_count, video_id
+from {ranked} join {members} using (title)"""
 
 
 # The greedy pass: one step per rank, carrying the ranks kept so far.
@@ -434,7 +483,7 @@ kept_topics as (
     where rk in (select unnest(kept) from (select kept from step order by rk desc limit 1)))
 """
 
-_SUM = "sum(cast({0} as decimal(24, 12)))::double"
+_SUM = "fsum({0})"
 _ROUND = "cast(format('{{:.1f}}', {0}) as double)"
 
 _STATS = f"""
@@ -478,7 +527,7 @@ def core_oracle_sql() -> dict[str, str]:
             select talks.*, description, duration, "publishedAt"
             from talks left join details using (id)""",
         "tag_lists": f"""with {_ORDERS}
-            select id as video_id, 0::bigint as page, string_agg(tag, ',' order by tag) as tags,
+            select id as video_id, string_agg(tag, ',' order by tag) as tags,
                    count(tag) as n_tags
             from raw_tags group by id""",
         "clean_talks": f"with {_ORDERS} select * from clean",
@@ -520,12 +569,11 @@ def core_oracle_sql() -> dict[str, str]:
             from requests join ranked on a = talk_id and rank <= 5
                  join profiles on b = video_id""",
         "tag_paths": f"""with {_ORDERS}
-            select tag as _id, 'Percorso: ' || tag as title, 0::bigint as page,
-                   string_agg(video_id, ',' order by video_id) as video_ids,
-                   array_to_string(list_sort(list_distinct(list(title) filter (title is not null))), ',')
-                       as video_titles,
-                   count(*) as video_count
-            from tags left join clean using (video_id) group by tag having count(*) >= 3""",
+            select tag as _id, 'Percorso: ' || tag as title, video_count, video_id,
+                   clean.title as video_title
+            from (select *, count(*) over (partition by tag) as video_count from tags)
+                 left join clean using (video_id)
+            where video_count >= 3""",
         "speaker_paths": f"""with {_ORDERS},
             members as (
                 select distinct video_id, speakers as title from profiles where length(speakers) > 0),
@@ -544,6 +592,31 @@ def core_oracle_sql() -> dict[str, str]:
             from (select count(*) as s from top_speakers), (select count(*) as t from kept_topics),
                  (select count(*) as videos_analyzed from documents)""",
         "learning_stats": f"with {_STATS} select * from stats",
+        "clean_copied_talks": f"""with {_ORDERS},
+            every as (
+                select * from talks
+                union all
+                select id, reverse(slug), 'A ' || speakers, title, url from talks
+                where id::bigint % 3 = 0)
+            select id as video_id, slug, speakers, title, url from every
+            qualify row_number() over (partition by id order by slug, speakers, title, url) = 1""",
+        "learning_stats_of_one": f"""with {_STATS}
+            select asked as "userId", coalesce("talksWatched", 0) as "talksWatched",
+                   coalesce("talksCompleted", 0) as "talksCompleted",
+                   coalesce("minutesViewed", 0) as "minutesViewed",
+                   coalesce("quizzesCompleted", 0) as "quizzesCompleted",
+                   coalesce("averageQuizScore", 0) as "averageQuizScore"
+            from (select unnest(['{ASKED_USER}', 'nobody']) as asked)
+                 left join stats on asked = "userId" """,
+        "learning_stats_odd": f"""
+            select l_suppkey::varchar as "userId", count(distinct l_partkey) as "talksWatched",
+                   count(*) as "quizzesCompleted",
+                   {_ROUND.format("fsum(x) / 60")} as "minutesViewed"
+            from (select *, case l_linenumber % 5 when 0 then 0 when 1 then 0
+                                 when 2 then l_extendedprice / 7e15
+                                 when 3 then l_extendedprice * 1e9
+                                 else l_extendedprice / 7 end as x from lineitem)
+            group by 1""",
         "learning_stats_requested": f"""with {_STATS}
             select c_custkey::varchar as "userId", coalesce("talksWatched", 0) as "talksWatched",
                    coalesce("talksCompleted", 0) as "talksCompleted",

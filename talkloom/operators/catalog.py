@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.operators.pages import PAGE_SIZE, page_count, page_of
-
 
 def enrich_catalog(talks: DataFrame, details: DataFrame) -> DataFrame:
     """Talks with description, duration and publishedAt; talks without details stay.
@@ -22,29 +20,13 @@ def rename_details(details: DataFrame) -> DataFrame:
     return details.select(F.col("id").alias("id_ref"), "description", "duration", "publishedAt")
 
 
-def tag_lists(tags: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def tag_lists(tags: DataFrame) -> DataFrame:
     """Tags per talk as written, duplicates kept, null tags skipped, sorted.
 
-    ``page`` is 0 unless a talk has more than ``page_size`` tag rows.
+    One row a talk, as in ``talk_profiles``: a talk's own tags are one record.
     """
-    copies = tags.groupBy(F.col("id").alias("_id"), "tag").agg(F.count("tag").alias("copies"))
-    sizes = copies.groupBy("_id").agg(
-        page_count(F.sum("copies"), page_size).alias("pages")
-    )
-    # One tag repeated more often than a page holds is cut into chunks first.
-    chunk = F.explode(F.sequence(F.lit(0), F.floor(F.col("copies") / page_size).cast("int")))
-    in_chunk = F.least(F.lit(page_size), F.col("copies") - F.col("chunk") * page_size)
-    return (
-        copies.withColumnRenamed("_id", "id")
-        .join(sizes, F.col("id").eqNullSafe(F.col("_id")))
-        .withColumn("chunk", chunk)
-        .withColumn("page", page_of(F.col("pages"), F.col("tag"), F.col("chunk")))
-        .groupBy("_id", "page")
-        .agg(
-            F.sort_array(
-                F.flatten(F.collect_list(F.array_repeat("tag", in_chunk.cast("int"))))
-            ).alias("tags")
-        )
+    return tags.groupBy(F.col("id").alias("_id")).agg(
+        F.sort_array(F.collect_list("tag")).alias("tags")
     )
 
 

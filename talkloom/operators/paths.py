@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.functions import path_id, strip
-from talkloom.operators.pages import PAGE_SIZE, page_count, page_of
+from talkloom.sources.scratch import keep
 
 # Smallest path, paths kept per kind, shortest topic, and the
 # overlap from which a smaller path repeats a larger one.
@@ -17,58 +17,31 @@ NEAR_DUPLICATE = 0.80
 TAG_PATH_TITLE = "Percorso: "
 
 
-def tag_paths(
-    talks: DataFrame, tags: DataFrame, min_talks: int = MIN_TALKS, page_size: int = PAGE_SIZE
-) -> DataFrame:
-    """Tags with at least ``min_talks`` talks, with their ids and distinct titles.
-
-    ``talks`` and ``tags`` are cleaned. Ids and titles are sets, each sorted by
-    itself. A tagged id missing from the catalog counts but has no title.
-    """
-    sizes = (
-        tags.groupBy("tag")
+def tag_path_headers(tags: DataFrame, min_talks: int = MIN_TALKS) -> DataFrame:
+    """One row a path, for tags with at least ``min_talks`` talks: _id, title, video_count."""
+    return (
+        tags.groupBy(F.col("tag").alias("_id"))
         .agg(F.count("*").alias("video_count"))
         .where(F.col("video_count") >= min_talks)
-    )
-    pages = page_count(F.col("video_count"), page_size)
-    # Each join ends in a shuffle on another key, so a popular tag can be split.
-    titled = (
-        tags.join(sizes, "tag")
-        .join(talks.select("video_id", "title"), "video_id", "left")
-        .withColumn("pages", pages)
-    )
-    id_page = page_of(F.col("pages"), F.col("video_id"))
-    title_page = page_of(F.col("pages"), F.col("title"))
-    nothing = F.lit(None).cast("string")
-    members = F.when(
-        F.col("pages") == 1, F.array(_member(F.lit(0), F.col("video_id"), F.col("title")))
-    ).otherwise(
-        F.array(
-            _member(id_page, F.col("video_id"), nothing),
-            _member(F.coalesce(title_page, id_page), nothing, F.col("title")),
-        )
-    )
-    return (
-        titled.select("tag", "video_count", F.inline(members))
-        .groupBy("tag", "video_count", "page")
-        .agg(
-            F.sort_array(F.collect_list("video_id")).alias("video_ids"),
-            F.sort_array(F.collect_set("title")).alias("video_titles"),
-        )
-        .select(
-            F.col("tag").alias("_id"),
-            F.concat(F.lit(TAG_PATH_TITLE), "tag").alias("title"),
-            "page",
-            "video_ids",
-            "video_titles",
-            "video_count",
-        )
+        .select("_id", F.concat(F.lit(TAG_PATH_TITLE), "_id").alias("title"), "video_count")
     )
 
 
-def _member(page: Column, video_id: Column, title: Column) -> Column:
-    return F.struct(
-        page.cast("int").alias("page"), video_id.alias("video_id"), title.alias("title")
+def tag_paths(talks: DataFrame, tags: DataFrame, min_talks: int = MIN_TALKS) -> DataFrame:
+    """Tag paths by member: the header's columns, video_id and video_title.
+
+    ``talks`` and ``tags`` are cleaned. A path grows with the catalog, so its members
+    are rows, however many they are. A tagged id missing from the catalog is a member
+    without a title.
+    """
+    # Each join ends in a shuffle on another key, so a popular tag can be split.
+    named = talks.select("video_id", F.col("title").alias("video_title"))
+    headers = tag_path_headers(tags, min_talks)
+    return (
+        tags.withColumnRenamed("tag", "_id")
+        .join(headers, "_id")
+        .join(named, "video_id", "left")
+        .select("_id", "title", "video_count", "video_id", "video_title")
     )
 
 
@@ -134,16 +107,11 @@ def rank_paths(
     )
 
 
-def path_documents(ranked: DataFrame, members: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Ranked paths with their sorted talk ids, a page per ``page_size`` talks."""
+def path_members(ranked: DataFrame, members: DataFrame) -> DataFrame:
+    """Ranked paths by member: the columns of ``ranked`` and video_id, a row a talk."""
     # ranked holds at most max_paths rows, so the broadcast cannot grow.
-    paged = members.join(F.broadcast(ranked), "title").withColumn(
-        "page", page_of(page_count(F.col("video_count"), page_size), F.col("video_id"))
-    )
-    return (
-        paged.groupBy("rank", "path_id", "title", "type", "page", "video_count")
-        .agg(F.sort_array(F.collect_list("video_id")).alias("videos"))
-        .select("rank", "path_id", "title", "type", "page", "videos", "video_count")
+    return members.join(F.broadcast(ranked), "title").select(
+        "rank", "path_id", "title", "type", "video_count", "video_id"
     )
 
 
@@ -155,7 +123,7 @@ def speaker_paths(
 ) -> DataFrame:
     """The largest speaker paths."""
     members = speaker_members(profiles, unique)
-    return path_documents(rank_paths(members, "speaker", min_talks, max_paths), members)
+    return path_members(rank_paths(members, "speaker", min_talks, max_paths), members)
 
 
 def topic_paths(
@@ -166,7 +134,7 @@ def topic_paths(
 ) -> DataFrame:
     """The largest topic paths, near-duplicates included."""
     members = topic_members(profiles, unique)
-    return path_documents(rank_paths(members, "topic", min_talks, max_paths), members)
+    return path_members(rank_paths(members, "topic", min_talks, max_paths), members)
 
 
 def drop_near_duplicates(
@@ -231,8 +199,10 @@ def distinct_topic_paths(
 ) -> DataFrame:
     """The largest topic paths without near-duplicates; the cut comes first."""
     members = topic_members(profiles, unique)
-    ranked = rank_paths(members, "topic", min_talks, max_paths)
-    return path_documents(drop_near_duplicates(ranked, members, threshold), members)
+    # the few ranked rows are read four times and counted once
+    ranked = keep(rank_paths(members, "topic", min_talks, max_paths), "ranked-topics")
+    left = keep(drop_near_duplicates(ranked, members, threshold), "distinct-topics")
+    return path_members(left, members)
 
 
 def build_paths(

@@ -7,38 +7,49 @@ from pyspark.sql import functions as F
 
 from talkloom.functions import lenient_double, round_1
 
-# Ordinary values are summed as decimals, so the total does not depend on the
-# order of the rows; only huge, infinite or NaN values are summed as doubles.
-_EXACT = "decimal(24,12)"
-_EXACT_BELOW = 1e11
+# Finite values are summed as decimals, so the total does not depend on the order
+# of the rows. A value of 10^20 or more does not fit and fails the query. NaN and
+# infinities are marked and counted beside.
+_EXACT = "decimal(38,18)"
 
 
-def _exact(number: Column) -> Column:
-    return F.when(F.abs(number) < _EXACT_BELOW, number.cast(_EXACT))
+def _finite(number: Column) -> Column:
+    special = F.isnan(number) | (F.abs(number) == float("inf"))
+    return F.when(~special, number.cast(_EXACT))
 
 
-def _rest(number: Column) -> Column:
-    return F.when(F.abs(number) >= _EXACT_BELOW, number)
+def _special(number: Column) -> Column:
+    special = F.isnan(number) | (F.abs(number) == float("inf"))
+    return F.when(special, number)
 
 
-def _total(exact: str, rest: str) -> Column:
-    return F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + F.coalesce(F.sum(rest), F.lit(0.0))
+def _total(finite: str, special: str) -> Column:
+    return F.coalesce(F.sum(finite).cast("double"), F.lit(0.0)) + F.coalesce(
+        F.sum(special), F.lit(0.0)
+    )
 
 
 def learning_stats(
-    progress: DataFrame, quizzes: DataFrame, users: DataFrame | None = None
+    progress: DataFrame,
+    quizzes: DataFrame,
+    users: DataFrame | None = None,
+    user_id: str | None = None,
 ) -> DataFrame:
     """Talks watched and completed, minutes, quizzes completed and mean score.
 
     Seconds count on every progress row; talks count once per user, and a talk
     completed is also watched. Without ``users`` the result covers every user
     with a record; with ``users`` (a userId column) exactly those, zeros where
-    there is no record.
+    there is no record. ``user_id`` asks for one user; the filter reaches the scan.
 
     Progress is first summed per user and talk, so a very active user spreads
     over many tasks, and the second sum starts before its shuffle.
     """
-    if users is not None:
+    if user_id is not None:
+        progress = progress.where(F.col("userId") == user_id)
+        quizzes = quizzes.where(F.col("userId") == user_id)
+        users = progress.sparkSession.range(1).select(F.lit(user_id).alias("userId"))
+    elif users is not None:
         users = users.select(F.col("userId").cast("string")).dropna().distinct()
         progress = progress.join(users, "userId", "left_semi")
         quizzes = quizzes.join(users, "userId", "left_semi")
@@ -51,8 +62,8 @@ def learning_stats(
         .select(
             "userId",
             "talkId",
-            _exact(seconds).alias("seconds"),
-            _rest(seconds).alias("odd_seconds"),
+            _finite(seconds).alias("seconds"),
+            _special(seconds).alias("odd_seconds"),
             watched.alias("watched"),
             completed.alias("completed"),
         )
@@ -78,8 +89,8 @@ def learning_stats(
         "userId",
         done.alias("quiz"),
         (done & points.isNotNull()).alias("scored"),
-        F.when(done, _exact(points)).alias("points"),
-        F.when(done, _rest(points)).alias("odd_points"),
+        F.when(done, _finite(points)).alias("points"),
+        F.when(done, _special(points)).alias("odd_points"),
     )
     rows = talk_rows.unionByName(quiz_rows, allowMissingColumns=True)
     if users is not None:

@@ -44,9 +44,13 @@ def generate_recommendations(tables: Catalog, base: str) -> dict[str, int]:
 
 
 def create_tag_paths(tables: Catalog, base: str) -> dict[str, int]:
-    """Write the tag paths."""
-    df = paths.tag_paths(catalog.clean_talks(tables.talks), catalog.clean_tags(tables.tags))
-    return {"tag_paths": _write_counted(df, base, "tag_paths")}
+    """Write the tag paths, a row each, and their members."""
+    tags = catalog.clean_tags(tables.tags)
+    frames = {
+        "tag_paths": paths.tag_path_headers(tags),
+        "tag_path_members": paths.tag_paths(catalog.clean_talks(tables.talks), tags),
+    }
+    return {name: _write_counted(df, base, name) for name, df in frames.items()}
 
 
 def refresh_paths(spark: SparkSession, base: str) -> DataFrame:

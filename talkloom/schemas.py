@@ -1,4 +1,4 @@
-"""Column contracts of the input tables and the produced collections.
+"""Column contracts of the input tables.
 
 Ids are strings everywhere: they are compared, sorted and looked up as text.
 """
@@ -19,48 +19,6 @@ TAGS = _strings("id", "tag")
 IMAGES = _strings("id")
 RELATED = _strings("id", "related_id")
 
-PROGRESS = T.StructType(
-    [
-        T.StructField("userId", T.StringType()),
-        T.StructField("talkId", T.StringType()),
-        T.StructField("progressSeconds", T.StringType()),
-        T.StructField("watched", T.BooleanType()),
-        T.StructField("completed", T.BooleanType()),
-    ]
-)
-QUIZ_RESULTS = T.StructType(
-    [
-        T.StructField("userId", T.StringType()),
-        T.StructField("quizId", T.StringType()),
-        T.StructField("score", T.StringType()),
-        T.StructField("completed", T.BooleanType()),
-    ]
-)
-
-PROFILES = T.StructType(
-    [
-        T.StructField("video_id", T.StringType()),
-        T.StructField("slug", T.StringType()),
-        T.StructField("speakers", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("tags", T.ArrayType(T.StringType())),
-    ]
-)
-RECOMMENDATION = T.StructType(
-    [
-        T.StructField("video_id", T.StringType()),
-        T.StructField("score", T.DoubleType()),
-        T.StructField("reasons", T.ArrayType(T.StringType())),
-    ]
-)
-WATCH_NEXT = T.StructType(
-    [
-        T.StructField("_id", T.StringType()),
-        T.StructField("recommendations", T.ArrayType(RECOMMENDATION)),
-    ]
-)
-
 
 def require(df: DataFrame, contract: T.StructType, table: str) -> DataFrame:
     """Return ``df`` unchanged, or fail if it lacks a column of the contract."""

@@ -52,12 +52,11 @@ def documents_catalog(spark: SparkSession, base: str) -> Catalog:
     """Documents as talks, their sources as speakers, their words as tags."""
     documents = _table(spark, base, "documents")
     doc_id = F.col("doc_id").cast("string")
-    title = F.substring("text", 1, 60)
     talks = documents.select(
         doc_id.alias("id"),
         F.concat(F.lit("doc-"), doc_id).alias("slug"),
         F.col("source").alias("speakers"),
-        title.alias("title"),
+        F.concat(F.lit("Document "), doc_id).alias("title"),
         F.concat(F.lit("https://example.org/d/"), doc_id).alias("url"),
     )
     details = documents.select(

@@ -42,15 +42,13 @@ def read_dataset(
     """One input table, every CSV column a string, extra columns passed through.
 
     Names come from the header, so no type inference pass over the data runs.
-    ``quoted_newlines`` accepts line breaks and doubled quotes inside quoted
-    fields; such a file cannot be split, so keep it off for large plain files.
+    Doubled quotes inside quoted fields are read as one. ``quoted_newlines`` accepts
+    line breaks in them; such a file cannot be split, so keep it off for large files.
     """
     path = dataset_path(base, table, fmt)
     if fmt == "csv":
-        reader = spark.read.option("header", True)
-        if quoted_newlines:
-            reader = reader.option("multiLine", True).option("escape", '"')
-        df = reader.csv(path)
+        reader = spark.read.option("header", True).option("escape", '"')
+        df = reader.option("multiLine", quoted_newlines).csv(path)
     else:
         df = spark.read.format(fmt).load(path)
         ids = [c for c in ("id", "related_id") if c in df.columns]

@@ -64,18 +64,6 @@ def test_tag_lists_keep_duplicates(frames):
     assert rows == {"1": ["a", "b"], "2": ["a", "b"], "3": ["b", "b"], "4": [], "9": ["a"]}
 
 
-def test_tag_lists_in_pages(spark):
-    rows = [("big", f"t{i % 7}") for i in range(100)] + [("big", "same")] * 57 + [("one", "x")]
-    lists = catalog.tag_lists(spark.createDataFrame(rows, "id string, tag string"), page_size=10)
-    got = {}
-    for r in lists.collect():
-        got.setdefault(r["_id"], []).append((r["page"], r["tags"]))
-    assert got["one"] == [(0, ["x"])]
-    assert sorted(t for _, tags in got["big"] for t in tags) == sorted(t for i, t in rows if i == "big")
-    assert len(got["big"]) > 3
-    assert len({p for p, _ in got["big"]}) == len(got["big"])
-
-
 def test_resolve(spark, served):
     asked = spark.createDataFrame([("1",), ("4",), ("7",), ("7",), ("",), (None,)], "talk_id string")
     rows = {r["talk_id"]: r for r in lookup.resolve_watch_next(asked, *served).collect()}
@@ -119,17 +107,14 @@ def test_searches(served):
 def test_tag_paths(frames):
     talks, tags, _ = frames
     args = catalog.clean_talks(talks), catalog.clean_tags(tags)
-    rows = {r["_id"]: r for r in paths.tag_paths(*args).collect()}
-    assert rows["a"]["video_ids"] == ["1", "2", "9"]
-    assert rows["a"]["video_titles"] == ["Talk 1", "Talk 2"]
-    assert rows["a"]["title"] == "Percorso: a"
-    assert rows["b"]["video_ids"] == ["1", "2", "3"]
-    assert {r["video_count"] for r in rows.values()} == {3}
-
-    paged = paths.tag_paths(*args, page_size=1).collect()
-    ids = sorted(v for r in paged if r["_id"] == "a" for v in r["video_ids"])
-    titles = sorted(t for r in paged if r["_id"] == "a" for t in r["video_titles"])
-    assert (ids, titles) == (["1", "2", "9"], ["Talk 1", "Talk 2"])
+    rows = {}
+    for r in paths.tag_paths(*args).collect():
+        assert r["title"] == f"Percorso: {r['_id']}" and r["video_count"] == 3
+        rows.setdefault(r["_id"], []).append((r["video_id"], r["video_title"]))
+    assert sorted(rows["a"]) == [("1", "Talk 1"), ("2", "Talk 2"), ("9", None)]
+    assert sorted(v for v, _ in rows["b"]) == ["1", "2", "3"]
+    headers = paths.tag_path_headers(args[1]).collect()
+    assert sorted((r["_id"], r["video_count"]) for r in headers) == [("a", 3), ("b", 3)]
 
 
 @pytest.fixture
@@ -182,6 +167,7 @@ def test_jobs_are_repeatable(spark, csv_base, tmp_path):
     assert first[0]["tedx_videos"] == 5
     assert first[0]["tedx_watch_next"] == 5
     assert first[0]["tag_paths"] == 2
+    assert first[0]["tag_path_members"] == 7
     assert first[1] == {
         "speaker_paths": 0, "topic_paths": 0, "total_paths": 0, "videos_analyzed": 5
     }
@@ -194,3 +180,25 @@ def test_refresh_needs_talks(spark, tmp_path, frames):
     write_collection(catalog.talk_profiles(talks.limit(0), tags), base, "tedx_videos")
     with pytest.raises(ValueError):
         jobs.refresh_paths(spark, base)
+
+
+def test_doubled_quotes_without_newlines(spark, csv_base):
+    with open(f"{csv_base}/details.csv", "w", encoding="utf-8") as f:
+        f.write('id,description,duration,publishedAt\n1,"a ""b"", c",9,p\n')
+    assert [r["description"] for r in read_catalog(spark, csv_base).details.collect()] == ['a "b", c']
+
+
+def test_results_do_not_depend_on_partitions(spark, frames):
+    talks, tags, _ = frames
+    setting = "spark.sql.shuffle.partitions"
+    before, seen = spark.conf.get(setting), []
+    try:
+        for n in (1, 8, 64):
+            spark.conf.set(setting, n)
+            spread = [df.repartition(n) for df in (talks, tags)]
+            members = paths.tag_paths(catalog.clean_talks(spread[0]), catalog.clean_tags(spread[1]))
+            rows = [*catalog.talk_profiles(*spread).collect(), *members.collect()]
+            seen.append(sorted(map(str, rows)))
+    finally:
+        spark.conf.set(setting, before)
+    assert seen[0] == seen[1] == seen[2]

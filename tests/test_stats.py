@@ -3,6 +3,8 @@
 import math
 import random
 
+import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +45,33 @@ def test_requested_users(spark):
     assert [tuple(r) for r in rows] == [("u1", 2, 1, 3.0, 3, 85.0), ("u3", 0, 0, 0.0, 0, 0.0)]
 
 
+def test_one_user(spark):
+    frames = _frames(spark)
+    assert [tuple(r) for r in learning_stats(*frames, user_id="u1").collect()] == [
+        ("u1", 2, 1, 3.0, 3, 85.0)
+    ]
+    assert [tuple(r) for r in learning_stats(*frames, user_id="u9").collect()] == [
+        ("u9", 0, 0, 0.0, 0, 0.0)
+    ]
+
+
+def test_one_user_is_filtered_in_the_scan(spark, tmp_path):
+    for name, df in zip(("p", "q"), _frames(spark)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    tables = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("p", "q")]
+    plan = learning_stats(*tables, user_id="u1")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(userId,u1)") == 2
+
+
+def test_digits_are_not_cut_and_what_does_not_fit_fails(spark):
+    quizzes = spark.createDataFrame([("a", "q", "0.7499999999999999", True)], QUIZZES)
+    none = spark.createDataFrame([], PROGRESS)
+    assert learning_stats(none, quizzes).first()["averageQuizScore"] == 0.7
+    huge = spark.createDataFrame([("a", "q", "1e21", True)], QUIZZES)
+    with pytest.raises(ArithmeticException):
+        learning_stats(none, huge).collect()
+
+
 def test_odd_numbers(spark):
     progress = spark.createDataFrame(
         [("a", "t", "9", True, None), ("b", "t", "inf", None, None), ("b", "t", "5", None, None),
