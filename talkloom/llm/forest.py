@@ -40,11 +40,11 @@ from talkloom.llm.slots import among, bitmap
 from talkloom.llm.words import Slice, SpanHash, lower_ascii, mix, slices, words
 
 SHINGLE = 5
-TREES = 20
+TREES = 24
 DEPTH = 6
 LEAST = 3
 LEVELS = (3, 4, 6)
-BESIDE = 2
+BESIDE = 8
 PERCENT = 75
 SIGNATURE = TREES * DEPTH
 #: of SIGNATURE places, those that agree at the least: four standard deviations below 75 %
