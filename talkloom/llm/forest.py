@@ -147,43 +147,78 @@ def _pivot_pairs(regions: DataFrame, store) -> DataFrame:
     return joined.select("cls", F.col("pivot.cls").alias("other"))
 
 
-def _neighbour_pairs(regions: DataFrame) -> DataFrame:
-    """Each class with those up to BESIDE places before it in the order of its region."""
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many places short signatures agree, row by row."""
+    return (x == y).sum(axis=1).astype(np.int32)
+
+
+def _flat(column: pa.Array, width: int) -> np.ndarray:
+    """A column of ``width`` bytes a row as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def _neighbour_pairs(regions: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Each class with those up to BESIDE places before it in the order of its region.
+
+    Pairs come as (a, b, agree), compared where they meet, so that those which cannot
+    be similar are never shuffled. Rows with ``part`` are the first and last of their
+    partition instead.
+    """
     width = 4 * LEAST
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+    names = ["part", "place", "tree", "region", "a", "b", "agree"]
+
+    def batch_of(columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: list[tuple] = []
-        head: list[tuple] = []
+        head = last = None
         part = None
         for batch in batches:
-            pairs = []
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                part, tree, order, cls = row
-                mark = (tree, order[:width], cls)
-                pairs += [(cls, c) for t, r, c in last if t == tree and r == mark[1] and c != cls]
-                last = [*last, mark][-BESIDE:]
-                if len(head) < BESIDE:
-                    head.append(mark)
-            yield batch_of([(None, None, None, None, a, b) for a, b in pairs])
+            if not batch.num_rows:
+                continue
+            part = batch.column(0)[0].as_py()
+            rows = (
+                batch.column(1).to_numpy(zero_copy_only=False),
+                _flat(batch.column(2), 4 * DEPTH)[:, :width],
+                _flat(batch.column(3), 16),
+                _flat(batch.column(4), SIGNATURE),
+            )
+            fresh = 0 if last is None else len(last[0])
+            if last is not None:
+                rows = tuple(np.concatenate(x) for x in zip(last, rows))
+            tree, region, cls, short = rows
+            if head is None:
+                head = tuple(x[:BESIDE] for x in rows)
+            elif len(head[0]) < BESIDE:
+                more = BESIDE - len(head[0])
+                head = tuple(np.concatenate((x, y[fresh : fresh + more])) for x, y in zip(head, rows))
+            for step in range(1, BESIDE + 1):
+                at = np.arange(max(step, fresh), len(tree))
+                at = at[(tree[at] == tree[at - step]) & (region[at] == region[at - step]).all(axis=1)]
+                at = at[(cls[at] != cls[at - step]).any(axis=1)]
+                agree = _agreeing(short[at], short[at - step])
+                at, agree = at[agree >= LEAST_AGREE], agree[agree >= LEAST_AGREE]
+                one = [row.tobytes() for row in cls[at]]
+                two = [row.tobytes() for row in cls[at - step]]
+                none = [None] * len(at)
+                yield batch_of(
+                    [none, none, none, none, list(map(min, one, two)), list(map(max, one, two)), agree]
+                )
+            last = tuple(x[-BESIDE:] for x in rows)
         if part is not None:
             # a short partition's rows are both its first and its last
-            ends = [(part, i, *mark) for i, mark in enumerate(head)]
-            ends += [(part, -1 - i, *mark) for i, mark in enumerate(reversed(last))]
-            yield batch_of([(*row, None) for row in ends])
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) if rows else [[]] * 6
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["part", "place", "tree", "region", "cls", "other"],
-        )
-
-    ordered = regions.repartitionByRange("tree", "order", "cls").sortWithinPartitions(
-        "tree", "order", "cls"
-    )
-    rows = ordered.select(F.spark_partition_id().alias("part"), "tree", "order", "cls")
-    schema = "part int, place int, tree int, region binary, cls binary, other binary"
+            n, m = len(head[0]), len(last[0])
+            place = [*range(n), *range(-m, 0)]
+            ends = [np.concatenate(x) for x in zip(head, last)]
+            none = [None] * (n + m)
+            named = [[row.tobytes() for row in x] for x in ends[1:3]]
+            yield batch_of([[part] * (n + m), place, ends[0], *named, none, none])
+
+    order = ["tree", "order", "cls"]
+    ordered = regions.join(signatures, "cls").repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = ordered.select(F.spark_partition_id().alias("part"), *order, "short")
+    schema = "part int, place int, tree int, region binary, a binary, b binary, agree int"
     return map_partitions(rows, run, schema)
 
 
@@ -191,29 +226,25 @@ def _border_pairs(found: DataFrame) -> DataFrame:
     """Pairs of the last rows of one partition with the first rows of the next."""
     ends = found.where(F.col("part").isNotNull())
     after = ends.where("place >= 0").select(
-        (F.col("part") - 1).alias("part"), "tree", "region", F.col("cls").alias("other")
+        (F.col("part") - 1).alias("part"), "tree", "region", F.col("a").alias("other")
     )
-    before = ends.where("place < 0").select("part", "tree", "region", "cls")
+    before = ends.where("place < 0").select("part", "tree", "region", F.col("a").alias("cls"))
     return before.join(after, ["part", "tree", "region"]).select("cls", "other")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) whose signatures agree often enough, with ``agree``."""
     pairs = pairs.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b"))
     pairs = pairs.where("a <> b").distinct()
-    short = _short_signatures(classes)
-    joined = pairs.join(short.select(F.col("cls").alias("a"), F.col("short").alias("x")), "a")
-    joined = joined.join(short.select(F.col("cls").alias("b"), F.col("short").alias("y")), "b")
+    x = signatures.select(F.col("cls").alias("a"), F.col("short").alias("x"))
+    y = signatures.select(F.col("cls").alias("b"), F.col("short").alias("y"))
+    joined = pairs.join(x, "a").join(y, "b")
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        x, y = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-            for i in (2, 3)
-        )
-        agree = (x == y).sum(axis=1).astype(np.int32)
-        likely = agree >= LEAST_AGREE
+        agree = _agreeing(_flat(batch.column(2), SIGNATURE), _flat(batch.column(3), SIGNATURE))
         out = [batch.column(0), batch.column(1), pa.array(agree)]
-        yield pa.RecordBatch.from_arrays(out, ["a", "b", "agree"]).filter(pa.array(likely))
+        likely = pa.array(agree >= LEAST_AGREE)
+        yield pa.RecordBatch.from_arrays(out, ["a", "b", "agree"]).filter(likely)
 
     return map_batches(joined.select("a", "b", "x", "y"), run, "a binary, b binary, agree int")
 
@@ -290,14 +321,11 @@ def near_duplicates(
     )
     classes = store(classes, "shingle-classes")
     regions = _regions(classes, store)
-    beside = store(_neighbour_pairs(regions), "forest-neighbours")
-    pairs = (
-        beside.where(F.col("part").isNull())
-        .select("cls", "other")
-        .unionByName(_border_pairs(beside))
-        .unionByName(_pivot_pairs(regions, store))
-    )
-    likely = store(_likely(pairs, classes), "likely-pairs")
+    signatures = _short_signatures(classes)
+    beside = store(_neighbour_pairs(regions, signatures), "forest-neighbours")
+    pairs = _border_pairs(beside).unionByName(_pivot_pairs(regions, store))
+    near = beside.where(F.col("part").isNull()).select("a", "b", "agree")
+    likely = store(near.unionByName(_likely(pairs, signatures)).distinct(), "likely-pairs")
     texts = store(_texts(docs, classes, likely, key, text), "pair-texts")
 
     # round 1: the best partner of each class
