@@ -9,14 +9,17 @@ reader could be one of them.
 1. *Heads*: the ``k + 1`` smallest ids of each tag. A partner sharing one tag
    only and missing from that tag's head is beaten by ``k`` others that share
    the tag and have smaller ids.
-2. *Tag pairs*: partners sharing two tags or more meet at a pair of tags. Tags
+2. *Tag subsets*: partners sharing two tags or more meet at a pair of tags. Tags
    are ordered by how often they are used, and a talk enters each of its pairs
-   ``(t, u)`` with the rest of its tags after ``u``. Talks with equal rest are
-   interchangeable there but for their id, so one group keeps ``k + 1`` of
-   them. A group at a pair of popular tags has a short rest, because few tags
-   are more popular still, so popular tags and copied talks collapse.
-   The count at a pair is exact at the two rarest shared tags and never too
-   high elsewhere, so the maximum over pairs is the true count.
+   with the rest of its tags after them. Talks with equal rest are
+   interchangeable there but for their id, so one group keeps ``k + 1`` of them.
+   Up to ``CROWD`` groups are compared with each other. A more crowded pair
+   gives the ``k + 1`` smallest ids that hold it, and its talks go on to triples
+   and larger subsets by one of the rest each, until few groups are left.
+   A partner sharing exactly the tags C is found at the first subset along C
+   that few groups hold, with its exact count, or else at C itself, where it is
+   among the smallest ids or beaten by ``k`` of them. No count is too high, so
+   the maximum over subsets is the true count.
 3. *Wide talks*: talks with more than ``max_width`` tags would give too many
    pairs; equal tag sets are merged and counted directly against the others.
 
@@ -38,8 +41,8 @@ TAG_WEIGHT = 3
 
 # Widest talk that enters the tag pairs: at most 16 pair rows per tag row.
 MAX_WIDTH = 32
-# Groups of one tag pair that one task compares with all others of the pair.
-PAIR_BLOCK = 1024
+# Groups of one tag subset that are compared with each other; beyond, the subset grows.
+CROWD = 64
 
 
 def _smallest(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -198,66 +201,83 @@ def _tag_sets(shared: DataFrame, narrow: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _tag_pair_rows(sets: DataFrame) -> DataFrame:
-    """(video_id, t, u, rest, h) for each pair of a talk's tags, t rarer than u."""
-    size = F.size("tagset")
-    return (
-        sets.select("video_id", "tagset", F.posexplode("tagset").alias("i", "t"))
-        .where(F.col("i") < size - 1)
-        .select(
-            "video_id",
-            "tagset",
-            "i",
-            "t",
-            F.posexplode(F.slice("tagset", F.col("i") + 2, size)).alias("j", "u"),
-        )
-        .select(
-            "video_id",
-            "t",
-            "u",
-            F.slice("tagset", F.col("i") + F.col("j") + 3, size).alias("rest"),
-            F.xxhash64("t", "u").alias("h"),
-        )
+def _longer(rows: DataFrame) -> DataFrame:
+    """Each row's ``subset`` with one more tag of its ``rest``, and the rest after that."""
+    grown = rows.select("video_id", "subset", "rest", F.posexplode("rest").alias("i", "tag"))
+    return grown.select(
+        "video_id",
+        F.array_append("subset", F.col("tag")).alias("subset"),
+        F.slice("rest", F.col("i") + 2, F.size("rest")).alias("rest"),
     )
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """Stored rows whose subset is held by two talks or more.
+
+    The hash just thins rows out: a false match keeps a row that finds no partner.
+    """
+    rows = rows.withColumn("h", F.xxhash64("subset"))
+    twice = rows.groupBy("h").agg(F.count("*").alias("talks")).where(F.col("talks") > 1)
+    return keep(rows.join(twice, "h", "left_semi").drop("h"), "subset-rows")
+
+
 def _two_tag_partners(sets: DataFrame, n: int) -> DataFrame:
-    """Partners of narrow talks that share two tags or more."""
-    rows = _tag_pair_rows(sets)
-    # Most tag pairs belong to one talk only. The hash just thins them out: a
-    # false match keeps a row that then finds no partner.
-    met = rows.groupBy("h").agg(F.count("*").alias("talks")).where(F.col("talks") > 1)
-    rows = keep(rows.join(met, "h", "left_semi").drop("h"), "pair-rows")
-
-    groups = (
-        _smallest(rows, ["t", "u", "rest"], [F.asc("video_id")], n)
-        .groupBy("t", "u", "rest")
-        .agg(F.collect_list("video_id").alias("ids"))
-    )
-    # Groups of one pair meet in blocks, so that a crowded pair is many tasks.
-    crowd = (
-        groups.groupBy("t", "u")
-        .agg(F.count("*").alias("groups"), F.sum(F.size("ids")).alias("talks"))
-        .where(F.col("talks") > 1)
-        .select("t", "u", F.ceil(F.col("groups") / PAIR_BLOCK).cast("int").alias("blocks"))
-    )
-    groups = groups.join(crowd, ["t", "u"])
-    left = groups.select(
-        "t", "u", "rest", F.pmod(F.xxhash64("rest"), F.col("blocks")).cast("int").alias("block")
-    )
-    right = groups.select(
-        "t",
-        "u",
-        F.col("rest").alias("other_rest"),
-        "ids",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-    )
-    shared = (F.size(F.array_intersect("rest", "other_rest")) + 2).cast("bigint")
-    matches = left.join(right, ["t", "u", "block"]).select(
-        "t", "u", "rest", shared.alias("shared"), F.explode("ids").alias("candidate")
+    """Partners of narrow talks that share two tags or more.
+
+    One round for each length of subset; rounds end where no subset is crowded.
+    """
+    none = F.array().cast("array<string>").alias("subset")
+    rows = _met(_longer(_longer(sets.select("video_id", none, F.col("tagset").alias("rest")))))
+    found, length = None, 2
+    while found is None or not rows.isEmpty():
+        groups = (
+            _smallest(rows, ["subset", "rest"], [F.asc("video_id")], n)
+            .groupBy("subset", "rest")
+            .agg(F.collect_list("video_id").alias("ids"))
+        )
+        held = (
+            groups.groupBy("subset")
+            .agg(F.count("*").alias("groups"), F.sum(F.size("ids")).alias("talks"))
+            .where(F.col("talks") > 1)
+        )
+        groups = keep(groups.join(held.drop("talks"), "subset"), "subset-groups")
+        direct = _met_directly(rows, groups.where(F.col("groups") <= CROWD), n)
+        found = direct if found is None else found.unionByName(direct)
+
+        crowded = groups.where(F.col("groups") > CROWD)
+        heads = (
+            _smallest(
+                crowded.select("subset", F.explode("ids").alias("id")), ["subset"], [F.asc("id")], n
+            )
+            .groupBy("subset")
+            .agg(F.collect_list("id").alias("head"))
+        )
+        rows = rows.join(heads, "subset")
+        # All share ``length`` tags at the least, so a talk needs the smallest ids only.
+        ids = F.sort_array(F.array_distinct(F.flatten(F.collect_list("head"))))
+        first = rows.groupBy("video_id").agg(F.slice(ids, 1, n).alias("ids"))
+        found = found.unionByName(
+            first.select(
+                "video_id",
+                F.explode("ids").alias("candidate"),
+                F.lit(length).cast("bigint").alias("shared"),
+            )
+        )
+        rows = _met(_longer(rows))
+        length += 1
+    return found
+
+
+def _met_directly(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+    """Partners of the talks of ``rows`` at subsets with few groups, compared with each other."""
+    left = groups.select("subset", "rest")
+    right = groups.select("subset", F.col("rest").alias("other_rest"), "ids")
+    shared = F.size(F.array_intersect("rest", "other_rest")) + F.size("subset")
+    matches = left.join(right, "subset").select(
+        "subset", "rest", shared.cast("bigint").alias("shared"), F.explode("ids").alias("candidate")
     )
-    best = _best(matches, ["t", "u", "rest"], n)
-    return rows.join(best, ["t", "u", "rest"]).select("video_id", "candidate", "shared")
+    best = _best(matches, ["subset", "rest"], n)
+    return rows.join(best, ["subset", "rest"]).select("video_id", "candidate", "shared")
 
 
 def _wide_partners(shared: DataFrame, wide: DataFrame, n: int) -> DataFrame:

@@ -89,8 +89,11 @@ def _expected_pairs(sets):
     return counts
 
 
-@pytest.mark.parametrize("seed, k, max_width", [(1, 3, 7), (2, 10, 7), (3, 2, 100), (4, 4, 4), (5, 1, 2)])
-def test_against_brute_force(spark, seed, k, max_width):
+@pytest.mark.parametrize(
+    "seed, k, max_width, crowd", [(1, 3, 7, 64), (2, 10, 7, 2), (3, 2, 100, 3), (4, 4, 4, 1), (5, 1, 2, 64)]
+)
+def test_against_brute_force(spark, monkeypatch, seed, k, max_width, crowd):
+    monkeypatch.setattr(recommend, "CROWD", crowd)
     sets, links = _catalogue(seed)
     tags = spark.createDataFrame(
         [(v, t) for v, ts in sets.items() for t in sorted(ts)], "video_id string, tag string"
