@@ -3,20 +3,28 @@
 A document's set is its distinct shingles of five words (A-Z lower-cased). Equal
 sets are one class. A signature holds ``TREES`` x ``DEPTH`` minima; each tree is an
 order of all classes by its own ``DEPTH`` minima, and classes that share at least
-``LEAST`` leading minima are in one region. Candidates of a class in each tree are
+``LEAST`` leading minima are in one region. Where more than ``BESIDE`` classes share
+all ``DEPTH`` minima, their order goes on through the minima of the other trees.
+Candidates of a class in each tree are
 
 * its neighbours in the sorted order, which have the longest common prefixes, and
 * the pivot of every region it is in, at each depth from ``LEAST`` on: the member
   that lies in the largest regions over all trees. Where many copies differ from
   their original more than they may differ from each other, the pivot is the
-  original. So a region is searched as deep as it is crowded, with a bounded number
-  of candidates a member and none dropped.
+  original.
 
 Candidates whose signatures agree in too few places to be similar (more than four
 standard deviations off) are left out; the others are confirmed on full sets.
 Confirmation goes in two rounds: first the best partners of each class, then all
 candidates that are not yet in one component. Components come from the links.
 
+The forest can miss a link, above all between classes that share much text with very
+many others. A third round therefore looks for every link between two components by an
+exact prefix filter: with the shingles of each set in one common order, two similar
+sets share one of their first shingles. The order puts those last that are frequent in
+a sample, which decides how much work there is and not what is found. Pairs are left
+out by size and by the places of the shared shingle alone, where no link is possible.
+
 Orders are sorted by range, so a region of any size is spread over tasks; pairs
 across the borders of partitions are made from their first and last rows.
 
@@ -31,7 +39,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.llm.arrow import map_batches, map_partitions
@@ -49,6 +57,9 @@ PERCENT = 75
 SIGNATURE = TREES * DEPTH
 #: of SIGNATURE places, those that agree at the least: four standard deviations below 75 %
 LEAST_AGREE = int(SIGNATURE * 0.75 - 4 * (SIGNATURE * 0.75 * 0.25) ** 0.5)
+#: of about so many documents the frequent shingles are counted, those in HEAVY of them or more
+SAMPLE_DOCS = 8_192
+HEAVY = 3
 _SALTS = np.random.default_rng(424242).integers(1, 2**63, SIGNATURE, dtype=np.uint64) | np.uint64(1)
 
 
@@ -85,6 +96,13 @@ def _signatures(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _class_names(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each set."""
+    one = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
+    two = np.add.reduceat(mix(values + np.uint64(0x14057B7EF767814F)), starts)
+    return np.stack((one, two), axis=1)
+
+
 def document_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, n_shingles, cls (16 bytes, null if the set is empty) and signature of every document."""
     kind = dict(docs.dtypes)[key]
@@ -97,9 +115,7 @@ def document_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -
             classes: list[bytes | None] = [None] * len(piece)
             signatures: list[bytes | None] = [None] * len(piece)
             if len(some):
-                one = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
-                two = np.add.reduceat(mix(values + np.uint64(0x14057B7EF767814F)), starts)
-                names = np.stack((one, two), axis=1)
+                names = _class_names(values, starts)
                 minima = _signatures(values, starts)
                 for i, name, row in zip(some, names, minima):
                     classes[i], signatures[i] = name.tobytes(), row.tobytes()
@@ -120,13 +136,25 @@ def document_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def _regions(classes: DataFrame, store) -> DataFrame:
     """tree, order (its minima) and cls of all classes that share a region with another."""
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
+    at = F.col("tree") * (4 * DEPTH)
     rows = classes.select("cls", "signature", F.explode(trees).alias("tree"))
-    order = F.substring("signature", F.col("tree") * (4 * DEPTH) + 1, F.lit(4 * DEPTH))
+    order = F.substring("signature", at + 1, F.lit(4 * DEPTH))
     rows = rows.select("cls", "tree", order.alias("order"))
     rows = rows.withColumn("region", F.substring("order", 1, 4 * LEAST))
     shared = rows.groupBy("tree", "region").agg(F.count("*").alias("n")).where("n > 1")
     rows = rows.join(shared.select("tree", "region"), ["tree", "region"], "left_semi")
-    return store(rows.select("tree", "order", "cls"), "forest-regions")
+    rows = store(rows.select("tree", "order", "cls"), "forest-regions")
+    # minima that a whole region shares leave its order as it is, so they need no skipping
+    crowded = rows.groupBy("tree", "order").agg(F.count("*").alias("n")).where(F.col("n") > BESIDE)
+    rest = F.concat(
+        F.substring("signature", at + (4 * DEPTH + 1), F.lit(4 * SIGNATURE)),
+        F.substring("signature", F.lit(1), at),
+    )
+    deeper = rows.join(crowded, ["tree", "order"], "left_semi").join(classes, "cls")
+    deeper = deeper.select("tree", "order", "cls", rest.alias("deeper"))
+    rows = rows.join(crowded, ["tree", "order"], "left_anti")
+    rows = rows.withColumn("deeper", F.lit(b"")).unionByName(deeper)
+    return store(rows, "forest-orders")
 
 
 def _pivot_pairs(regions: DataFrame, store) -> DataFrame:
@@ -215,9 +243,9 @@ def _neighbour_pairs(regions: DataFrame, signatures: DataFrame) -> DataFrame:
             named = [[row.tobytes() for row in x] for x in ends[1:3]]
             yield batch_of([[part] * (n + m), place, ends[0], *named, none, none])
 
-    order = ["tree", "order", "cls"]
+    order = ["tree", "order", "deeper", "cls"]
     ordered = regions.join(signatures, "cls").repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = ordered.select(F.spark_partition_id().alias("part"), *order, "short")
+    rows = ordered.select(F.spark_partition_id().alias("part"), "tree", "order", "cls", "short")
     schema = "part int, place int, tree int, region binary, a binary, b binary, agree int"
     return map_partitions(rows, run, schema)
 
@@ -301,6 +329,94 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text
     return found.groupBy("cls").agg(F.first("text").alias("text"))
 
 
+def _heavy_shingles(docs: DataFrame, count: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent in a sample, sorted, and in how many of its documents they are."""
+    step = max(1, count // SAMPLE_DOCS)
+    chosen = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(step)) == 0).distinct()
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batch.column(0)):
+            values, _ = shingle_sets(piece)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["shingle"])
+
+    rows = map_batches(chosen, run, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
+    # bounded by the sample
+    found = rows.where(F.col("n") >= HEAVY).toArrow()
+    heavy = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(heavy)
+    return heavy[order], found.column("n").to_numpy()[order]
+
+
+def _prefixes(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], text: str) -> DataFrame:
+    """cls, n and the first shingles of each class, of which similar classes share one."""
+    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        known, often = shared.value
+        for piece in slices(batch.column(0)):
+            values, counts = shingle_sets(piece)
+            some = np.flatnonzero(counts)
+            if not len(some):
+                continue
+            counts = counts[some]
+            starts = np.cumsum(counts) - counts
+            names = _class_names(values, starts)
+            owner = np.repeat(np.arange(len(some)), counts)
+            rank = np.zeros(len(values), dtype=np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+                rank = np.where(known[at] == values, often[at], 0)
+            # values come sorted, and stay so among equal ranks
+            values = values[np.lexsort((rank, owner))]
+            length = counts - (PERCENT * counts + 99) // 100 + 1
+            first = values[np.arange(len(values)) - starts[owner] < length[owner]]
+            offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(first.view(np.int64)))
+            classes = pa.array([name.tobytes() for name in names], pa.binary())
+            arrays = [classes, pa.array(counts.astype(np.int32)), lists]
+            yield pa.RecordBatch.from_arrays(arrays, ["cls", "n", "prefix"])
+
+    rows = map_batches(docs.select(text), run, "cls binary, n int, prefix array<bigint>")
+    return rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+
+
+def _possible_pairs(docs: DataFrame, placed: DataFrame, store, text: str) -> DataFrame:
+    """All pairs (a < b) of classes in different components that can be similar.
+
+    ``placed`` has cls and component of each class. Shingles that only one class or one
+    component has among its first are left out before pairs are made.
+    """
+    prefixes = _prefixes(docs, _heavy_shingles(docs, placed.count(), text), text)
+    # 64 bits stand for a class in the shuffle; should two be equal, both classes are taken
+    rows = prefixes.select(
+        F.xxhash64("cls").alias("mark"), "n", F.posexplode("prefix").alias("place", "shingle")
+    )
+    alike = Window.partitionBy("shingle")
+    several = F.min("mark").over(alike) != F.max("mark").over(alike)
+    rows = store(rows.withColumn("several", several).where("several").drop("several"), "shared-shingles")
+    rows = rows.join(placed.withColumn("mark", F.xxhash64("cls")), "mark").drop("mark")
+    mixed = rows.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    rows = rows.join(mixed.where("x <> y").select("shingle"), "shingle", "left_semi")
+    rows = store(rows, "mixed-shingles")
+    # a pair of n and m shingles is similar if it shares PERCENT / (100 + PERCENT) of n + m, and what it can share
+    # from its first shared shingle on is bounded by what follows there
+    tail = F.col("n") - F.col("place")
+    short = rows.where((100 + PERCENT) * tail >= 2 * PERCENT * F.col("n")).alias("s")
+    long = rows.alias("l")
+    left = F.least(F.col("s.n") - F.col("s.place"), F.col("l.n") - F.col("l.place"))
+    pairs = short.join(
+        long,
+        (F.col("s.shingle") == F.col("l.shingle"))
+        & (F.col("s.component") != F.col("l.component"))
+        & (F.col("s.n") <= F.col("l.n"))
+        & ((F.col("s.n") < F.col("l.n")) | (F.col("s.cls") < F.col("l.cls")))
+        & (100 * F.col("s.n") >= PERCENT * F.col("l.n"))
+        & ((100 + PERCENT) * left >= PERCENT * (F.col("s.n") + F.col("l.n"))),
+    )
+    a, b = F.least("s.cls", "l.cls").alias("a"), F.greatest("s.cls", "l.cls").alias("b")
+    return pairs.select(a, b).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     store: Callable[[DataFrame, str], DataFrame],
@@ -341,7 +457,17 @@ def near_duplicates(
     apart = apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     apart = apart.join(chosen.distinct(), ["a", "b"], "left_anti")
     more = store(_confirmed(apart, texts), "second-links")
-    group = components(links.unionByName(more), store)
+    links = links.unionByName(more)
+    group = components(links, store)
+    # round 3: every link between components that the forest has not found
+    placed = classes.join(group.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cls", F.coalesce("component", "cls").alias("component")
+    )
+    possible = store(_possible_pairs(docs, placed, store, text), "possible-pairs")
+    texts = _texts(docs, classes, possible, key, text)
+    missed = store(_confirmed(possible, texts), "third-links")
+    if missed.head(1):
+        group = components(links.unionByName(missed), store)
 
     placed = classes.join(group.withColumnRenamed("node", "cls"), "cls", "left").select(
         "cls", "head", F.coalesce("component", "cls").alias("component")

@@ -135,6 +135,36 @@ def test_star_of_near_copies(spark, store):
     assert _near(docs, store) == brute_force.near_duplicates(rows)
 
 
+def test_families_with_much_text_in_common(spark, store):
+    """Many pairs of similar documents; all share a text that does not make them similar."""
+    rng = random.Random(7)
+    common = [f"c{i}" for i in range(500)]
+    rows = []
+    for family in range(250):
+        own = [f"f{family}x{i}" for i in range(25)]
+        for member in range(2):
+            rest = [f"r{family}x{member}x{i}" for i in range(80)]
+            rows.append((2 * family + member, " ".join(common + own + rest)))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # of 601 shingles the members of a family share 521, all others 496
+    assert _near(docs, store) == {i: (601, i - i % 2) for i, _ in rows}
+
+
+def test_links_that_no_tree_shows_are_found(spark, store, monkeypatch):
+    monkeypatch.setattr(forest, "LEAST_AGREE", forest.SIGNATURE + 1)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert _near(docs, store) == brute_force.near_duplicates(_pairs(docs))
+
+
+def test_crowded_orders_go_on_through_further_minima(spark, store):
+    rows = [(bytes([i, 0]), bytes(4 * forest.SIGNATURE - 1) + bytes([i % 7])) for i in range(40)]
+    found = forest._regions(spark.createDataFrame(rows, "cls binary, signature binary"), store)
+    last = forest.TREES - 1
+    for row in found.where(f"tree < {last}").collect():
+        assert len(row["deeper"]) == 4 * (forest.SIGNATURE - forest.DEPTH)
+
+
 def test_components_of_a_chain(spark, store):
     n = 200
     edges = spark.range(n - 1).selectExpr("id as a", "id + 1 as b")
