@@ -1,6 +1,8 @@
 """Shards by fixed virtual slots and a versioned map from slots to shards.
 
-Every record is hashed by its id into one of ``SLOTS`` virtual slots. Bytes are
+Every record is hashed by its id, size and checksum into one of ``SLOTS`` virtual
+slots, and records that are equal in all three by their number too, so an id that very
+many rows share is spread over the slots like any others. Bytes are
 summed per slot. The map from slots to shards is a small table (a row a slot)
 with a version; rebalancing writes a new version in which some slots have another
 shard, and records follow their slot. Version 1 deals the slots evenly; version
@@ -9,8 +11,8 @@ shard, and records follow their slot. Version 1 deals the slots evenly; version
 The size bound of the map is ``SLOTS`` rows, so it is balanced on the driver and
 broadcast. Records only meet in groups of one slot, about 1 / ``SLOTS`` of them.
 
-Null text counts as no bytes. Null ids share one slot. Repeated rows are separate
-records of one slot. An empty table gives an empty result. Further columns do not
+Null text counts as no bytes. Null ids are one id. Repeated rows are separate records,
+counted before they are shuffled. An empty table gives an empty result. Further columns do not
 matter.
 """
 
@@ -23,8 +25,8 @@ SLOTS = 4096
 MAP_SCHEMA = "version int, slot int, shard int"
 
 
-def slot_of(key: str, slots: int = SLOTS):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(slots)).cast("int")
+def slot_of(*keys: str, slots: int = SLOTS):
+    return F.pmod(F.xxhash64(*[F.col(key) for key in keys]), F.lit(slots)).cast("int")
 
 
 def record_size(text: str = "text"):
@@ -89,12 +91,16 @@ def read_map(table: DataFrame, version: int | None = None) -> DataFrame:
 
 def records_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, size, text_crc32 and virtual_slot of every record."""
-    return docs.select(
+    record = [key, "size", "text_crc32"]
+    rows = docs.select(
         key,
         record_size(text).alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        slot_of(key).alias("virtual_slot"),
     )
+    # equal records are only told apart by a number, so a count gives them back
+    counted = rows.groupBy(*record).agg(F.count("*").alias("_n"))
+    numbered = counted.select(*record, F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_copy"))
+    return numbered.select(*record, slot_of(*record, "_copy").alias("virtual_slot"))
 
 
 def assign(records: DataFrame, slot_map: DataFrame, key: str = "doc_id") -> DataFrame:

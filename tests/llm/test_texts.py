@@ -230,3 +230,19 @@ def test_map_versions(spark):
     loads = [sum(load[s] for s in new if new[s] == shard) for shard in range(5)]
     assert max(loads) - min(loads) <= 5
     assert sum(old[s] != new[s] for s in old) < 256 / 3
+
+
+def test_one_id_of_very_many_rows_is_spread_over_slots(spark, store):
+    """A third of the rows have a null id, a tenth are equal."""
+    rows = [(i, f"text {i}") for i in range(1100)] + [(None, f"other {i}") for i in range(700)]
+    rows += [(None, "equal")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sharding.shard(docs, lambda df: store(df, "slot-map")).collect()
+    assert sorted(r["size"] for r in found) == sorted(len(t) + 1 for _, t in rows)
+    slots = {r["virtual_slot"] for r in found if r["doc_id"] is None}
+    assert len(slots) > 600
+    loads = [sum(r["size"] for r in found if r["shard"] == s) for s in range(8)]
+    assert max(loads) < 1.1 * sum(loads) / 8
+    for s in range(8):
+        places = sorted(r["place"] for r in found if r["shard"] == s)
+        assert places == list(range(len(places)))
