@@ -231,14 +231,17 @@ def nearest(
             x = np.array(right["v"].tolist(), dtype=np.float64)
             ids = right["ids"].to_numpy()
             first = np.array([i[0] for i in ids])
+            largest = np.abs(x).max()
             for at in range(0, len(left), QUERY_CHUNK):
                 asked_rows = left["v"].iloc[at : at + QUERY_CHUNK]
                 q = np.array(asked_rows.tolist(), dtype=np.float64)
                 rough = q @ x.T
-                # a few more than asked for, as the last digits of a product may differ
-                many = min(limit + 4, len(x))
-                best = np.argpartition(-rough, many - 1, axis=1)[:, :many]
-                for vec, row, own in zip(asked_rows, q, best):
+                # all that may tie with the last one asked for, as the last digits of a product may differ
+                many = min(limit, len(x))
+                least = np.partition(rough, len(x) - many, axis=1)[:, len(x) - many]
+                margin = 4 * (q.shape[1] + 1) * np.finfo(np.float64).eps * np.abs(q).sum(axis=1) * largest
+                for vec, row, line, cut in zip(asked_rows, q, rough, least - margin):
+                    own = np.flatnonzero(line >= cut)
                     scores = (x[own] * row).sum(axis=1)
                     order = np.lexsort((first[own], -scores))[:limit]
                     found, values = [], []

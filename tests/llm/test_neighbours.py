@@ -43,6 +43,17 @@ def test_ties_copies_and_unusable_vectors(spark):
         assert hits.sort_values("rank")["vec_id"].tolist() == _exact(rows, query, 20)
 
 
+def test_many_different_vectors_with_one_score(spark):
+    """Of 400 vectors that tie the smallest ids are the answer."""
+    rng = np.random.default_rng(2)
+    order = rng.permutation(400)
+    rows = [(int(order[i]) + 1, [1.0] + [float(b) for b in f"{i:09b}"]) for i in range(400)]
+    rows.append((1000, [1.0] + [0.0] * 9))
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, vectors.where("vec_id = 1000")).toPandas()
+    assert found.sort_values("rank")["vec_id"].tolist() == list(range(1, 21))
+
+
 def test_few_and_no_rows(spark):
     names = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (20, [0.0, 2.0]), (3, [1.0, 1.0])], names)
