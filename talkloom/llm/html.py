@@ -5,8 +5,11 @@ negative on the whole; the weight of each kind (a word by the element it is in,
 tag by its name) is the log odds of lying inside the content, counted over labelled
 pages: those whose markup names the content with exactly one ``article`` or
 ``main`` element. One linear scan finds the contiguous run with the largest sum.
-Of that run the blocks are returned, without elements that never hold the article:
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments.
+Of that run the blocks are returned, without elements that never hold the article
+(menus, footers, asides, scripts) and without those whose class, id or role names them
+as furniture, forms and headers, unless they wrap the article: an element stays if it
+holds the article or main element, holds over half of the words of the page or of the
+content element around it, or is a heading block in the content.
 
 Null or empty html, and pages without a run above 0, give an empty text. Of two
 runs with the same sum the earlier and then the longer one wins. Rows are
@@ -51,8 +54,7 @@ _INLINE = {
     "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 _NEVER = {
-    "head", "nav", "menu", "footer", "aside", "form", "button", "select", "option", "fieldset",
-    "iframe", "object", "svg", "canvas", "audio", "video", "dialog", "map",
+    "head", "nav", "menu", "footer", "aside", "button", "select", "option", "iframe", "object", "svg", "canvas", "audio", "video", "dialog", "map",
 }
 # Words in class, id or role that name page furniture.
 _FURNITURE = {
@@ -74,21 +76,23 @@ _SIBLINGS = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 _CONTENT = {"article", "main"}
+# These wrap a whole page at times, so they are judged like elements with a name of furniture.
+_WRAPS = {"form", "fieldset"}
+_HEADER = {"header", "masthead", "banner"}
+_HEADINGS = {"tag h1", "tag h2", "tag h3", "tag h4", "tag h5", "tag h6"}
 _WHITE = re.compile(r"\s")
 
 
-def _furniture(name: str, attributes: str, in_content: bool) -> bool:
-    if name in _NEVER or (name == "header" and not in_content):
-        return True
+def _furniture(name: str, attributes: str, in_content: bool) -> set[str]:
+    """What names an element as furniture."""
     if name in _CONTENT or name in ("html", "body"):
-        return False
-    if "=" not in attributes:
-        return False
-    for found in _NAMES.finditer(attributes):
-        value = (found[1] or found[2] or found[3] or "").lower()
-        if not _FURNITURE.isdisjoint(_PARTS.findall(value)):
-            return True
-    return False
+        return set()
+    named = {name} if name in _WRAPS or (name == "header" and not in_content) else set()
+    if "=" in attributes:
+        for found in _NAMES.finditer(attributes):
+            value = (found[1] or found[2] or found[3] or "").lower()
+            named |= _FURNITURE.intersection(_PARTS.findall(value))
+    return named
 
 
 @dataclass
@@ -101,11 +105,65 @@ class Token:
     dropped: bool
     content: int  # how many content elements are open
     words: int = 1
+    inside: tuple[int, ...] = ()  # open elements that are content or named as furniture
+
+
+def tokens(page: str) -> list[Token]:
+    """The tokens of a page, with furniture marked as dropped."""
+    elements: list[set[str]] = []
+    row = list(_read(page, elements))
+    if not elements:
+        return row
+    words = [0] * len(elements)
+    held: list[set[int]] = [set() for _ in elements]  # the content elements in each
+    around = [-1] * len(elements)  # the content element around each
+    heads = [False] * len(elements)
+    seen: set[int] = set()
+    total = 0
+    for token in row:
+        if token.dropped:
+            continue
+        if token.text is not None:
+            total += token.words
+            for e in token.inside:
+                words[e] += token.words
+        elif token.kind in _HEADINGS:
+            for e in token.inside:
+                heads[e] = True
+        if token.inside and token.inside[-1] not in seen:
+            seen.add(token.inside[-1])
+            outer = -1
+            for depth, e in enumerate(token.inside):
+                around[e] = outer
+                if not elements[e]:
+                    outer = e
+                    for other in token.inside[:depth]:
+                        held[other].add(e)
+    # teasers and comments may be article elements too; the content is the largest
+    most = max((words[e] for e, named in enumerate(elements) if not named), default=0)
+    kept = set()
+    for e, named in enumerate(elements):
+        whole = words[around[e]] if around[e] >= 0 else total
+        if (
+            not named
+            or any(2 * words[c] >= most for c in held[e])
+            or 2 * words[e] > whole
+            or (around[e] >= 0 and heads[e] and named <= _HEADER)
+        ):
+            kept.add(e)
+    for token in row:
+        token.dropped = token.dropped or not kept.issuperset(token.inside)
+    return row
 
 
-def tokens(page: str) -> Iterator[Token]:
-    """Read a page; unclosed and stray tags are taken as browsers take them, roughly."""
-    stack: list[tuple[str, bool]] = []  # open elements that are not inline, and whether dropped
+def _read(page: str, elements: list[set[str]]) -> Iterator[Token]:
+    """Read a page; unclosed and stray tags are taken as browsers take them, roughly.
+
+    ``elements`` is filled with the names of furniture (none for content) of each
+    element that ``inside`` counts; ``dropped`` holds for what never is content.
+    """
+    # open elements that are not inline, whether dropped, and what they are inside
+    stack: list[tuple[str, bool, tuple[int, ...]]] = []
     anchors = 0
     block = 0
     at = 0
@@ -115,7 +173,7 @@ def tokens(page: str) -> Iterator[Token]:
     def closed(down_to: int) -> None:
         nonlocal content
         while len(stack) > down_to:
-            name, _ = stack.pop()
+            name = stack.pop()[0]
             content -= name in _CONTENT
 
     while at < end:
@@ -126,7 +184,8 @@ def tokens(page: str) -> Iterator[Token]:
             where = stack[-1][0] if stack else "none"
             dropped = bool(stack) and stack[-1][1]
             kind = f"word {where}" + (" a" if anchors > 0 else "")
-            yield Token(kind, text, block, dropped, content, len(text.split()))
+            inside = stack[-1][2] if stack else ()
+            yield Token(kind, text, block, dropped, content, len(text.split()), inside)
         at = after
         if not found:
             return
@@ -143,12 +202,13 @@ def tokens(page: str) -> Iterator[Token]:
             if name == "a":
                 anchors = max(0, anchors + (-1 if closing else 1))
             if name == "br":
-                yield Token("tag br", " ", block, bool(stack) and stack[-1][1], content, 0)
+                dropped, inside = stack[-1][1:] if stack else (False, ())
+                yield Token("tag br", " ", block, dropped, content, 0, inside)
             continue
         block += 1
-        furniture = bool(stack) and stack[-1][1]
+        furniture, inside = stack[-1][1:] if stack else (False, ())
         if closing:
-            open_at = max((i for i, (n, _) in enumerate(stack) if n == name), default=-1)
+            open_at = max((i for i, (n, _, _) in enumerate(stack) if n == name), default=-1)
             if open_at >= 0:
                 closed(open_at)
                 anchors = 0
@@ -158,12 +218,16 @@ def tokens(page: str) -> Iterator[Token]:
             ends |= _SIBLINGS.get(name, set())
             while stack and stack[-1][0] in ends:
                 closed(len(stack) - 1)
-            dropped = bool(stack) and stack[-1][1]
-            dropped = dropped or _furniture(name, found[3], content > 0)
-            stack.append((name, dropped))
+            dropped, inside = stack[-1][1:] if stack else (False, ())
+            dropped = dropped or name in _NEVER
+            named = _furniture(name, found[3], content > 0)
+            if named or name in _CONTENT:
+                inside = (*inside, len(elements))
+                elements.append(named)
+            stack.append((name, dropped, inside))
             content += name in _CONTENT
             furniture = dropped
-        yield Token(f"tag {'/' if closing else ''}{name}", None, block, furniture, content)
+        yield Token(f"tag {'/' if closing else ''}{name}", None, block, furniture, content, 1, inside)
 
 
 @dataclass

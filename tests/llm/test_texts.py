@@ -246,3 +246,21 @@ def test_one_id_of_very_many_rows_is_spread_over_slots(spark, store):
     for s in range(8):
         places = sorted(r["place"] for r in found if r["shard"] == s)
         assert places == list(range(len(places)))
+
+
+def test_wrappers_with_names_of_furniture_keep_the_article():
+    weights = html.Weights()
+    text = "<p>" + "word " * 50 + "</p>"
+    side = '<div class="sidebar"><p>side words here</p></div>'
+    for before, after in [
+        ('<div class="layout has-sidebar">', "</div>"),
+        ('<div class="elementor-widget">', "</div>"),
+        ('<form id="aspnetForm">', "</form>"),
+    ]:
+        for page in (f"{before}{text}{side}{after}", f"{before}<article>{text}</article>{side}{after}"):
+            assert html.main_text(f"<html><body>{page}</body></html>", weights) == ("word " * 50).strip()
+    block = '<div class="article-header"><h1>The news of today</h1></div>'
+    found = html.main_text(f"<body><article>{block}{text}</article>{side}</body>", weights)
+    assert found == "The news of today\n" + ("word " * 50).strip()
+    form = "<form><p>your name</p></form>"
+    assert "name" not in html.main_text(f"<body><article>{text}{form}</article></body>", weights)
