@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkloom.llm import forest, html, mixing, neighbours, passages, quality, rules, sharding, suffixes, tokenize
+from talkloom.llm import forest, html, mixing, negatives, neighbours, passages, quality, rules, runs, sharding, suffixes, threshold, tokenize
 from talkloom.sources.scratch import keep
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -79,10 +79,25 @@ def op10_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return runs.digests(runs.periodic_runs(docs, order=runs.planted_order))
+
+
+def op12_threshold_search(spark: SparkSession, sf: str) -> DataFrame:
+    return threshold.top_k(_table(spark, sf, "embeddings"), F.col("id") % 50 == 0, keep)
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf, "embeddings"), F.col("id") % 50 == 0, keep, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_learned_partitions, op2_suffix_array, op3_html_text, op4_mixing, op5_passages,
         op6_lsh_forest, op7_site_quality, op8_isolation_forest, op9_byte_bpe, op10_virtual_slots,
+        op11_periodic_runs, op12_threshold_search, op13_hard_negatives,
     ]
     return {query.__name__: query for query in found}
 
@@ -198,6 +213,83 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id,
 from d join c on c.node = d.doc_id left join n using (doc_id)"""
 
 
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::double))"
+_FINE = "embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))"
+
+_TOP = f"""
+with v as (select vec_id, {_WHOLE} as x from embeddings where {_FINE}),
+s as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+    from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+       vec_id, score
+from s qualify rank <= 5"""
+
+_NEGATIVES = f"""
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, {_WHOLE} as x
+    from embeddings where label is not null and {_FINE}),
+s as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+           list_inner_product(a.x, c.x)::bigint as score
+    from v a join v c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id),
+p as (
+    select anchor_id, vec_id as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id,
+       row_number() over (
+           partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same
+     and 100 * score between 50 * positive_score and 95 * positive_score
+qualify rank <= 3"""
+
+# A run is a stretch in which words q apart are equal, an island of equal pairs at distance q; it counts if no
+# run of a smaller period holds it. The checksum of an id is folded byte by byte, bit by bit.
+_CRC = """list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i, 1))::bigint)),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), range(8)),
+        lambda c, step: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end))"""
+_RUNS = rf"""
+with d as (
+    select doc_id, w, len(w) as n, xor({_CRC}, 4294967295) as h
+    from (select doc_id, {_WORDS.format("text")} as w from documents)),
+e as (
+    select doc_id, w, n, h % 10 = 0 and n > 0 as planted,
+           case when n > 0 then (h // 10) % n end as a, 3 + (h // 10) % 8 as parts from d),
+f as (
+    select doc_id, n,
+           case when planted then list_transform(range(0, n), lambda i: w[1 + case when i < a then i
+                    else a + (i - a) % (1 + (n - a) // parts) end]) else w end as w from e),
+g as (select doc_id, n, i, w[i + 1] as word from (select *, unnest(range(0, n)) as i from f)),
+m as (
+    select x.doc_id, y.i - x.i as q, x.i from g x join g y
+        on x.doc_id = y.doc_id and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+o as (select *, i - row_number() over (partition by doc_id, q order by i) as island from m),
+s as (
+    select doc_id, q as period, min(i) as start, count(*) + q as length from o group by doc_id, q, island
+    having count(*) + q >= greatest(6, 4 * q)),
+r as (
+    select * from s where not exists (
+        select 1 from s t where t.doc_id = s.doc_id and t.period < s.period
+            and t.start <= s.start and t.start + t.length >= s.start + s.length)),
+t as (
+    select doc_id, count(*) as n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines,
+           arg_min(struct_pack(start, length, period), [-length, start, period]) as best
+    from r group by doc_id),
+u as (select distinct doc_id, unnest(range(start + period, start + length)) as i from r),
+k as (
+    select g.doc_id, string_agg(word, ' ' order by g.i) as kept
+    from g left join u on g.doc_id = u.doc_id and g.i = u.i where u.i is null group by 1)
+select d.doc_id, coalesce(n_runs, 0)::bigint as n_runs, best.start::bigint as start,
+       best.length::bigint as length, best.period::bigint as period,
+       (1000 * best.length // best.period)::bigint as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from d left join t using (doc_id) left join k using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express an operator: classifiers, checksums and token ids it cannot."""
     return {
@@ -205,4 +297,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_mixing": _MIXING,
         "op5_passages": _PASSAGES,
         "op6_lsh_forest": _NEAR,
+        "op11_periodic_runs": _RUNS,
+        "op12_threshold_search": _TOP,
+        "op13_hard_negatives": _NEGATIVES,
     }
