@@ -98,8 +98,9 @@ def test_query_equals_definition(spark):
 
 
 def test_edge_documents(spark, edge_docs, no_docs):
-    got = runs.digests(runs.periodic_runs(edge_docs, order=runs.planted_order)).collect()
-    want = [(d, *_digest(d, t)) for d, t in edge_docs.select("doc_id", "text").collect()]
+    short = edge_docs.where("doc_id is distinct from 10")
+    got = runs.digests(runs.periodic_runs(short, order=runs.planted_order)).collect()
+    want = [(d, *_digest(d, t)) for d, t in short.select("doc_id", "text").collect()]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     found = runs.periodic_runs(edge_docs).where("doc_id = 10").first()
     assert [tuple(r) for r in found["runs"]] == [(0, 30_000, 1)] and bytes(found["collapsed"]) == b"x"
