@@ -272,7 +272,7 @@ def _learning_stats_odd(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(True).alias("watched"),
         F.lit(True).alias("completed"),
     )
-    return stats.learning_stats(rows, rows).select("userId", "talksWatched", "quizzesCompleted", "minutesViewed")
+    return stats.learning_stats(rows, rows)
 
 
 def _search_by_tag(spark: SparkSession, sf: str) -> DataFrame:
@@ -610,9 +610,10 @@ def core_oracle_sql() -> dict[str, str]:
                  left join stats on asked = "userId" """,
         "learning_stats_odd": f"""
             select l_suppkey::varchar as "userId", count(distinct l_partkey) as "talksWatched",
-                   count(*) as "quizzesCompleted",
-                   {_ROUND.format("fsum(x) / 60")} as "minutesViewed"
-            from (select *, case l_linenumber % 5 when 0 then 0 when 1 then 0
+                   count(distinct l_partkey) as "talksCompleted", count(*) as "quizzesCompleted",
+                   {_ROUND.format("coalesce(fsum(x), 0) / 60")} as "minutesViewed",
+                   {_ROUND.format("coalesce(fsum(x) / nullif(count(x), 0), 0)")} as "averageQuizScore"
+            from (select *, case l_linenumber % 5 when 0 then null when 1 then null
                                  when 2 then l_extendedprice / 7e15
                                  when 3 then l_extendedprice * 1e9
                                  else l_extendedprice / 7 end as x from lineitem)

@@ -6,27 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.functions import lenient_double, round_1
+from talkloom.functions.sums import is_special, limb_sums, total, with_limbs
 
-# Finite values are summed as decimals, so the total does not depend on the order
-# of the rows. A value of 10^20 or more does not fit and fails the query. NaN and
-# infinities are marked and counted beside.
-_EXACT = "decimal(38,18)"
 
-
-def _finite(number: Column) -> Column:
-    special = F.isnan(number) | (F.abs(number) == float("inf"))
-    return F.when(~special, number.cast(_EXACT))
-
-
-def _special(number: Column) -> Column:
-    special = F.isnan(number) | (F.abs(number) == float("inf"))
-    return F.when(special, number)
+def _summed(rows: DataFrame, number: str, *counts: Column) -> DataFrame:
+    """Per user and place the limb sums of ``number``, its special values and ``counts``."""
+    limbs = F.struct("place", "high", "middle", "low")
+    odd = F.when(is_special(F.col(number)), F.col(number))
+    summed = with_limbs(rows, number).groupBy("userId", "place")
+    summed = summed.agg(*limb_sums(), F.sum(odd).alias("odd"), *counts)
+    return summed.withColumn("limbs", F.when(F.col("place").isNotNull(), limbs)).drop(
+        "place", "high", "middle", "low"
+    )
 
 
-def _total(finite: str, special: str) -> Column:
-    return F.coalesce(F.sum(finite).cast("double"), F.lit(0.0)) + F.coalesce(
-        F.sum(special), F.lit(0.0)
-    )
+def _total(limbs: str, odd: str) -> Column:
+    """The exact sum, or what NaN and infinities make of it."""
+    return F.coalesce(F.col(odd), total(F.col(limbs)))
 
 
 def learning_stats(
@@ -42,8 +38,10 @@ def learning_stats(
     with a record; with ``users`` (a userId column) exactly those, zeros where
     there is no record. ``user_id`` asks for one user; the filter reaches the scan.
 
-    Progress is first summed per user and talk, so a very active user spreads
-    over many tasks, and the second sum starts before its shuffle.
+    Sums are of the exact values of the doubles, rounded once, so they depend neither on
+    the order of rows nor on partitions. Talks are first counted per user and talk, numbers
+    per user and power of two, so a very active user spreads over many tasks, and sums
+    start before their shuffle.
     """
     if user_id is not None:
         progress = progress.where(F.col("userId") == user_id)
@@ -57,51 +55,39 @@ def learning_stats(
     seconds = lenient_double(F.col("progressSeconds"), progress.schema["progressSeconds"].dataType)
     completed = F.coalesce("completed", F.lit(False))
     watched = F.coalesce("watched", F.lit(False)) | completed
-    talks = (
-        progress.where(F.col("userId").isNotNull())
-        .select(
-            "userId",
-            "talkId",
-            _finite(seconds).alias("seconds"),
-            _special(seconds).alias("odd_seconds"),
-            watched.alias("watched"),
-            completed.alias("completed"),
-        )
+    progress = progress.where(F.col("userId").isNotNull())
+    talk_rows = (
+        progress.where(F.col("talkId").isNotNull())
+        .select("userId", "talkId", watched.alias("watched"), completed.alias("completed"))
         .groupBy("userId", "talkId")
-        .agg(
-            F.sum("seconds").alias("seconds"),
-            F.sum("odd_seconds").alias("odd_seconds"),
-            F.max("watched").alias("watched"),
-            F.max("completed").alias("completed"),
-        )
-    )
-    known = F.col("talkId").isNotNull()
-    talk_rows = talks.select(
-        "userId",
-        (known & F.col("watched")).alias("watched"),
-        (known & F.col("completed")).alias("completed"),
-        "seconds",
-        "odd_seconds",
+        .agg(F.max("watched").alias("watched"), F.max("completed").alias("completed"))
+        .drop("talkId")
     )
+    second_rows = _summed(progress.select("userId", seconds.alias("seconds")), "seconds")
+    second_rows = second_rows.withColumnsRenamed({"limbs": "second_limbs", "odd": "odd_seconds"})
     points = lenient_double(F.col("score"), quizzes.schema["score"].dataType)
     done = F.coalesce(F.col("completed"), F.lit(False))
-    quiz_rows = quizzes.where(F.col("userId").isNotNull()).select(
-        "userId",
-        done.alias("quiz"),
-        (done & points.isNotNull()).alias("scored"),
-        F.when(done, _finite(points)).alias("points"),
-        F.when(done, _special(points)).alias("odd_points"),
-    )
-    rows = talk_rows.unionByName(quiz_rows, allowMissingColumns=True)
-    if users is not None:
-        rows = rows.unionByName(users, allowMissingColumns=True)
+    quiz_rows = quizzes.where(F.col("userId").isNotNull() & done).select("userId", points.alias("points"))
+    counts = F.count("*").alias("quizzes"), F.count("points").alias("scores")
+    point_rows = _summed(quiz_rows, "points", *counts)
+    point_rows = point_rows.withColumnsRenamed({"limbs": "point_limbs", "odd": "odd_points"})
+    # users without anything completed have a row as well
+    known = quizzes.where(F.col("userId").isNotNull()).select("userId").distinct()
+    rows = talk_rows.unionByName(second_rows, allowMissingColumns=True)
+    rows = rows.unionByName(point_rows, allowMissingColumns=True)
+    rows = rows.unionByName(known if users is None else users, allowMissingColumns=True)
     sums = rows.groupBy("userId").agg(
         F.count_if("watched").alias("talksWatched"),
         F.count_if("completed").alias("talksCompleted"),
-        _total("seconds", "odd_seconds").alias("seconds"),
-        F.count_if("quiz").alias("quizzesCompleted"),
-        _total("points", "odd_points").alias("points"),
-        F.count_if("scored").alias("scores"),
+        F.collect_list("second_limbs").alias("second_limbs"),
+        F.sum("odd_seconds").alias("odd_seconds"),
+        F.coalesce(F.sum("quizzes"), F.lit(0)).alias("quizzesCompleted"),
+        F.collect_list("point_limbs").alias("point_limbs"),
+        F.sum("odd_points").alias("odd_points"),
+        F.sum("scores").alias("scores"),
+    )
+    sums = sums.withColumns(
+        {"seconds": _total("second_limbs", "odd_seconds"), "points": _total("point_limbs", "odd_points")}
     )
     mean = F.when(F.col("scores") > 0, round_1(F.col("points") / F.col("scores"))).otherwise(0.0)
     return sums.select(
