@@ -6,10 +6,18 @@ outlive any executor; like checkpoints they are left to that folder's upkeep.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What is read again is the table, so no shuffle behind it is needed. Batches for Python
+# hold whole texts; fewer at once need less memory.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 _SETTING = "spark.checkpoint.dir"
 _default: str | None = None
 
@@ -31,12 +39,27 @@ def scratch_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+@contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    """The session with ``WHILE_WRITING``, then as it was."""
+    before = {name: spark.conf.get(name, None) for name in WHILE_WRITING}
+    for name, value in WHILE_WRITING.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table and return the table.
 
-    Readers of the table plan from its size and fetch only their columns.
+    Readers of the table plan from its size and fetch only their columns. The shuffles
+    that made it are removed once it is written.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid4().hex}"
-    df.write.parquet(path)
+    with _settings(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
