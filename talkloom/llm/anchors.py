@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from talkloom.llm.arrow import map_batches, map_partitions
 from talkloom.llm.slots import among, bitmap
-from talkloom.llm.words import Slice, SpanHash, mix, slices, words
+from talkloom.llm.words import Slice, SpanHash, mix, slices, version, words
 
 MOST_CLASSES = 2_000
 _PLACE_BITS = np.uint64(28)
@@ -115,7 +115,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _anchor_rows(docs: DataFrame, scheme: Scheme, only_anchor: bool) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        versions = batch.column(1).to_numpy(zero_copy_only=False)
+        versions = batch.column(1)
         for piece in slices(batch.column(2)):
             symbols = scheme.symbols(piece)
             first, count, lead, anchor, content = contexts(symbols, scheme.window, scheme.k)
@@ -129,7 +129,7 @@ def _anchor_rows(docs: DataFrame, scheme: Scheme, only_anchor: bool) -> DataFram
                     _signed(anchor),
                     _signed(content),
                     pa.array(ids[row]),
-                    pa.array(versions[row]),
+                    versions.take(pa.array(row)),
                     pa.array(place),
                 ],
                 ["anchor", "content", "doc", "version", "place"],
@@ -137,7 +137,7 @@ def _anchor_rows(docs: DataFrame, scheme: Scheme, only_anchor: bool) -> DataFram
 
     if only_anchor:
         return map_batches(docs, run, "anchor bigint")
-    schema = "anchor bigint, content bigint, doc bigint, version int, place bigint"
+    schema = "anchor bigint, content bigint, doc bigint, version binary, place bigint"
     return map_batches(docs, run, schema)
 
 
@@ -146,7 +146,7 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text", *kept: str)
     last = F.lit((1 << 63) - 1)
     return docs.select(
         F.coalesce(F.col(key).cast("bigint"), last).alias("doc"),
-        F.hash(F.col(text)).alias("version"),
+        version(text).alias("version"),
         F.col(text).alias("text"),
         *kept,
     )

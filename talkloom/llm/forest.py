@@ -21,9 +21,10 @@ candidates that are not yet in one component. Components come from the links.
 The forest can miss a link, above all between classes that share much text with very
 many others. A third round therefore looks for every link between two components by an
 exact prefix filter: with the shingles of each set in one common order, two similar
-sets share one of their first shingles. The order puts those last that are frequent in
-a sample, which decides how much work there is and not what is found. Pairs are left
-out by size and by the places of the shared shingle alone, where no link is possible.
+sets share one of their first shingles. The order puts those last that are frequent over
+all sets, as counted in ``SLOTS`` counters that shingles share by their hash; the counts
+decide how much work there is and not what is found. Pairs are left out by size and by
+the places of the shared shingle alone, where no link is possible.
 
 Orders are sorted by range, so a region of any size is spread over tasks; pairs
 across the borders of partitions are made from their first and last rows.
@@ -39,13 +40,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.llm.arrow import map_batches, map_partitions
 from talkloom.llm.components import components
 from talkloom.llm.slots import among, bitmap
-from talkloom.llm.words import Slice, SpanHash, lower_ascii, mix, slices, words
+from talkloom.llm.words import Slice, SpanHash, lower_ascii, mix, slices, version, words
 
 SHINGLE = 5
 TREES = 24
@@ -57,9 +58,8 @@ PERCENT = 75
 SIGNATURE = TREES * DEPTH
 #: of SIGNATURE places, those that agree at the least: four standard deviations below 75 %
 LEAST_AGREE = int(SIGNATURE * 0.75 - 4 * (SIGNATURE * 0.75 * 0.25) ** 0.5)
-#: of about so many documents the frequent shingles are counted, those in HEAVY of them or more
-SAMPLE_DOCS = 8_192
-HEAVY = 3
+#: counters of shingles, whose sizes give the order of the prefix filter
+SLOTS = 1 << 21
 _SALTS = np.random.default_rng(424242).integers(1, 2**63, SIGNATURE, dtype=np.uint64) | np.uint64(1)
 
 
@@ -133,8 +133,11 @@ def document_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     return map_batches(docs.select(key, text), run, schema).withColumnRenamed("key", key)
 
 
-def _regions(classes: DataFrame, store) -> DataFrame:
-    """tree, order (its minima) and cls of all classes that share a region with another."""
+def _regions(classes: DataFrame, store) -> tuple[DataFrame, DataFrame]:
+    """tree, order (its minima) and cls of all classes that share a region with another.
+
+    Second, the same with ``deeper``: the minima of the other trees where an order is crowded.
+    """
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
     at = F.col("tree") * (4 * DEPTH)
     rows = classes.select("cls", "signature", F.explode(trees).alias("tree"))
@@ -151,10 +154,9 @@ def _regions(classes: DataFrame, store) -> DataFrame:
         F.substring("signature", F.lit(1), at),
     )
     deeper = rows.join(crowded, ["tree", "order"], "left_semi").join(classes, "cls")
-    deeper = deeper.select("tree", "order", "cls", rest.alias("deeper"))
-    rows = rows.join(crowded, ["tree", "order"], "left_anti")
-    rows = rows.withColumn("deeper", F.lit(b"")).unionByName(deeper)
-    return store(rows, "forest-orders")
+    deeper = store(deeper.select("tree", "cls", rest.alias("deeper")), "crowded-orders")
+    ordered = rows.join(deeper, ["tree", "cls"], "left")
+    return rows, ordered.withColumn("deeper", F.coalesce("deeper", F.lit(b"")))
 
 
 def _pivot_pairs(regions: DataFrame, store) -> DataFrame:
@@ -315,44 +317,80 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(joined, run, "a binary, b binary")
 
 
+def _head(key: str) -> Column:
+    """The id of a row, the largest number for null."""
+    return F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1))
+
+
 def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
     """cls and text of the classes in ``pairs``; other texts stay out of the shuffle."""
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     heads = classes.join(wanted, "cls", "left_semi").select("cls", "head", "version")
     bits = bitmap(heads, "head")
     rows = docs.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit((1 << 63) - 1)).alias("head"),
-        F.hash(text).alias("version"),
+        _head(key).alias("head"),
+        version(text).alias("version"),
         F.col(text).alias("text"),
     )
     found = among(rows, "head", bits).join(heads, ["head", "version"])
     return found.groupBy("cls").agg(F.first("text").alias("text"))
 
 
-def _heavy_shingles(docs: DataFrame, count: int, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample, sorted, and in how many of its documents they are."""
-    step = max(1, count // SAMPLE_DOCS)
-    chosen = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(step)) == 0).distinct()
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batch.column(0)):
-            values, _ = shingle_sets(piece)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["shingle"])
-
-    rows = map_batches(chosen, run, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
-    # bounded by the sample
-    found = rows.where(F.col("n") >= HEAVY).toArrow()
-    heavy = found.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(heavy)
-    return heavy[order], found.column("n").to_numpy()[order]
+def _slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of all ``sets`` (text) fall into each of SLOTS slots.
 
+    A task sends the counts that are not zero, in pieces, and pieces are summed as they
+    come, so tasks and driver hold no more than the slots.
+    """
+    each = 1 << 15
 
-def _prefixes(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], text: str) -> DataFrame:
-    """cls, n and the first shingles of each class, of which similar classes share one."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(SLOTS, dtype=np.uint32)
+        for batch in batches:
+            for piece in slices(batch.column(0)):
+                values, _ = shingle_sets(piece)
+                slots, counts = np.unique(values % np.uint64(SLOTS), return_counts=True)
+                found[slots.astype(np.int64)] += counts.astype(np.uint32)
+        yield from sent(found)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                own = found.setdefault(part, np.zeros(each, dtype=np.uint32))
+                own[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint32)
+        for part, own in found.items():
+            yield row_of(part, own)
+
+    def row_of(part: int, counts: np.ndarray) -> pa.RecordBatch:
+        places = np.flatnonzero(counts)
+        columns = [
+            pa.array([part], pa.int32()),
+            pa.array([places.astype(np.uint16).tobytes()], pa.binary()),
+            pa.array([counts[places].tobytes()], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["part", "places", "counts"])
+
+    def sent(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for part, own in enumerate(found.reshape(-1, each)):
+            if own.any():
+                yield row_of(part, own)
+
+    schema = "part int, places binary, counts binary"
+    counted = map_partitions(sets.select("text"), count, schema).repartition("part")
+    table = map_partitions(counted, add, schema).toArrow()
+    out = np.zeros((SLOTS // each, each), dtype=np.uint32)
+    for part, places, counts in zip(*(column.to_pylist() for column in table.columns)):
+        out[part, np.frombuffer(places, np.uint16)] = np.frombuffer(counts, np.uint32)
+    return out.reshape(-1)
+
+
+def _prefixes(sets: DataFrame, counts: np.ndarray) -> DataFrame:
+    """cls, n and the first shingles of each set, of which similar sets share one."""
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        known, often = shared.value
+        often = shared.value
         for piece in slices(batch.column(0)):
             values, counts = shingle_sets(piece)
             some = np.flatnonzero(counts)
@@ -362,10 +400,7 @@ def _prefixes(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], text: str)
             starts = np.cumsum(counts) - counts
             names = _class_names(values, starts)
             owner = np.repeat(np.arange(len(some)), counts)
-            rank = np.zeros(len(values), dtype=np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-                rank = np.where(known[at] == values, often[at], 0)
+            rank = often[(values % np.uint64(SLOTS)).astype(np.int64)]
             # values come sorted, and stay so among equal ranks
             values = values[np.lexsort((rank, owner))]
             length = counts - (PERCENT * counts + 99) // 100 + 1
@@ -376,25 +411,28 @@ def _prefixes(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], text: str)
             arrays = [classes, pa.array(counts.astype(np.int32)), lists]
             yield pa.RecordBatch.from_arrays(arrays, ["cls", "n", "prefix"])
 
-    rows = map_batches(docs.select(text), run, "cls binary, n int, prefix array<bigint>")
-    return rows.groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    return map_batches(sets.select("text"), run, "cls binary, n int, prefix array<bigint>")
 
 
-def _possible_pairs(docs: DataFrame, placed: DataFrame, store, text: str) -> DataFrame:
+def _possible_pairs(docs: DataFrame, placed: DataFrame, store, key: str, text: str) -> DataFrame:
     """All pairs (a < b) of classes in different components that can be similar.
 
-    ``placed`` has cls and component of each class. Shingles that only one class or one
-    component has among its first are left out before pairs are made.
+    ``placed`` has cls, head and component of each class. Shingles that only one class or
+    one component has among its first are left out before pairs are made.
     """
-    prefixes = _prefixes(docs, _heavy_shingles(docs, placed.count(), text), text)
+    # copies of a set add nothing; those whose id is like a head's are dropped further down
+    named = docs.select(_head(key).alias("head"), F.col(text).alias("text"))
+    sets = among(named, "head", bitmap(placed, "head"))
+    prefixes = store(_prefixes(sets, _slot_counts(sets)), "prefixes")
     # 64 bits stand for a class in the shuffle; should two be equal, both classes are taken
     rows = prefixes.select(
         F.xxhash64("cls").alias("mark"), "n", F.posexplode("prefix").alias("place", "shingle")
     )
-    alike = Window.partitionBy("shingle")
-    several = F.min("mark").over(alike) != F.max("mark").over(alike)
-    rows = store(rows.withColumn("several", several).where("several").drop("several"), "shared-shingles")
-    rows = rows.join(placed.withColumn("mark", F.xxhash64("cls")), "mark").drop("mark")
+    ends = rows.groupBy("shingle").agg(F.min("mark").alias("x"), F.max("mark").alias("y"))
+    several = store(ends.where("x <> y").select("shingle"), "shared-shingles")
+    rows = among(rows, "shingle", bitmap(several, "shingle")).join(several, "shingle", "left_semi")
+    placed = placed.select("cls", "component", F.xxhash64("cls").alias("mark"))
+    rows = rows.distinct().join(placed, "mark").drop("mark")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     rows = rows.join(mixed.where("x <> y").select("shingle"), "shingle", "left_semi")
     rows = store(rows, "mixed-shingles")
@@ -423,8 +461,13 @@ def near_duplicates(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Key, n_shingles, component_id (smallest id linked, its own included) and kept."""
-    numbered = docs.select(F.col(key).cast("bigint").alias("doc"), F.hash(text).alias("version"), text)
+    """Key, n_shingles, component_id (smallest id linked, its own included) and kept.
+
+    ``kept`` holds where the id is the component's. Ids may be null or shared, so ``first``
+    names one text of each component besides: the one of the smallest id, then ``version``.
+    Texts without words are first of their own.
+    """
+    numbered = docs.select(F.col(key).cast("bigint").alias("doc"), version(text).alias("version"), text)
     numbered = numbered.select(F.struct("doc", "version").alias("doc"), text)
     shingled = store(document_classes(numbered, "doc", text), "shingled")
     last = F.lit((1 << 63) - 1)
@@ -436,9 +479,9 @@ def near_duplicates(
         .select("cls", F.col("head.doc").alias("head"), "head.version", "signature")
     )
     classes = store(classes, "shingle-classes")
-    regions = _regions(classes, store)
+    regions, ordered = _regions(classes, store)
     signatures = _short_signatures(classes)
-    beside = store(_neighbour_pairs(regions, signatures), "forest-neighbours")
+    beside = store(_neighbour_pairs(ordered, signatures), "forest-neighbours")
     pairs = _border_pairs(beside).unionByName(_pivot_pairs(regions, store))
     near = beside.where(F.col("part").isNull()).select("a", "b", "agree")
     likely = store(near.unionByName(_likely(pairs, signatures)).distinct(), "likely-pairs")
@@ -461,26 +504,30 @@ def near_duplicates(
     group = components(links, store)
     # round 3: every link between components that the forest has not found
     placed = classes.join(group.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", F.coalesce("component", "cls").alias("component")
+        "cls", "head", F.coalesce("component", "cls").alias("component")
     )
-    possible = store(_possible_pairs(docs, placed, store, text), "possible-pairs")
+    possible = store(_possible_pairs(docs, placed, store, key, text), "possible-pairs")
     texts = _texts(docs, classes, possible, key, text)
     missed = store(_confirmed(possible, texts), "third-links")
     if missed.head(1):
         group = components(links.unionByName(missed), store)
 
     placed = classes.join(group.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "cls", "head", F.coalesce("component", "cls").alias("component")
+        "cls", F.struct("head", "version").alias("head"), F.coalesce("component", "cls").alias("component")
     )
-    least = placed.groupBy("component").agg(F.min("head").alias("component_id"))
-    named = placed.join(least, "component").select("cls", "component_id")
+    least = placed.groupBy("component").agg(F.min("head").alias("least"))
+    named = placed.join(least, "component").select("cls", "least")
     rows = shingled.select("doc", "n_shingles", "cls").join(named, "cls", "left")
-    component = F.when(F.col("component_id") < last, F.col("component_id"))
+    component = F.when(F.col("least.head") < last, F.col("least.head"))
+    first = (F.coalesce("doc.doc", last) == F.col("least.head")) & (
+        F.col("doc.version") == F.col("least.version")
+    )
     rows = rows.select(
         F.col("doc.doc").alias(key),
         F.col("doc.version").alias("version"),
         "n_shingles",
         F.when(F.col("cls").isNull(), F.col("doc.doc")).otherwise(component).alias("component_id"),
+        F.coalesce(first, F.lit(True)).alias("first"),
     )
     return rows.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
@@ -497,13 +544,13 @@ def deduplicated(
     """
     found = store(near_duplicates(docs, store, key, text), "near-duplicates")
     by = [F.col(key).alias("_key"), F.col("version").alias("_version")]
-    gone = found.where(~F.col("kept")).select(*by).distinct()
+    gone = found.where(~F.col("first")).select(*by).distinct()
     twice = found.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     doubt = store(gone.withColumn("_gone", F.lit(True)).unionByName(
         twice.withColumn("_gone", F.lit(False))
     ), "doubtful")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    named = docs.select(F.col(key).alias("_key"), F.hash(text).alias("_version"), row)
+    named = docs.select(F.col(key).alias("_key"), version(text).alias("_version"), row)
     last = F.lit(-1).cast("bigint")  # a null id has a slot of its own in the bitmap
     named = named.withColumn("_slot_key", F.coalesce(F.col("_key").cast("bigint"), last))
     noted = doubt.select(F.coalesce(F.col("_key").cast("bigint"), last).alias("_slot_key"))

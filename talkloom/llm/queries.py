@@ -44,7 +44,7 @@ def op5_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return forest.near_duplicates(_table(spark, sf, "documents"), keep).drop("version")
+    return forest.near_duplicates(_table(spark, sf, "documents"), keep).drop("version", "first")
 
 
 def op7_site_quality(spark: SparkSession, sf: str) -> DataFrame:

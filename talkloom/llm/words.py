@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 19
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +25,11 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _CODES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 
 
+def version(text: str) -> Column:
+    """128 bits that tell apart the texts of rows that share an id; null has its own."""
+    return F.coalesce(F.unhex(F.md5(F.col(text))), F.lit(b""))
+
+
 class _Powers:
     """Powers of the hash base and of its inverse modulo 2**64, as many as asked for so far."""
 

@@ -5,6 +5,7 @@ import random
 import brute_force
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from talkloom.llm import anchors, components, forest, passages, suffixes
 
@@ -93,6 +94,30 @@ def test_one_of_each_group_stays_with_all_columns(edge_docs, store):
     assert ids == [1, 4, 5, 6, 7, 9, 10, 12, 14, 15]
 
 
+def test_texts_of_one_id_are_told_apart_by_more_than_32_bits(spark, store):
+    words = [f"w{i}" for i in range(100_000)]
+    texts = spark.createDataFrame([(" ".join(words[i : i + 9]),) for i in range(90_000)], "text string")
+    pair = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("both"))
+    one, two = pair.where("size(both) > 1").first()["both"][:2]
+    docs = spark.createDataFrame([(None, one), (None, two)], "doc_id long, text string")
+    assert {r["text"] for r in forest.deduplicated(docs, store).collect()} == {one, two}
+    long = " ".join(words[:60])
+    docs = spark.createDataFrame([(1, long), (None, one), (None, two + " " + long)], "doc_id long, text string")
+    left = {r["text"].split()[0]: r["text"] for r in passages.cleaned(passages.repeated_words(docs, store)).collect()}
+    assert one in left.values() and long in left.values()
+
+
+def test_one_of_near_copies_with_null_or_shared_ids_stays(spark, store):
+    base = [f"b{i}" for i in range(100)]
+    rows = [(doc, " ".join([*base[:-1], f"x{i}"])) for i, doc in enumerate([None, None, 7, 7, 9])]
+    apart = [(None, " ".join(f"c{i}{n}" for i in range(50))) for n in "ab"]
+    docs = spark.createDataFrame([*rows, *apart], "doc_id long, text string")
+    left = [r["doc_id"] for r in forest.deduplicated(docs, store).collect()]
+    assert sorted(left, key=str) == [7, None, None]
+    only_null = spark.createDataFrame([(None, text) for _, text in rows], "doc_id long, text string")
+    assert forest.deduplicated(only_null, store).count() == 1
+
+
 def test_empty_tables(no_docs, store):
     assert suffixes.digests(suffixes.repeated_bytes(no_docs, store)).count() == 0
     assert passages.cleaned(passages.repeated_words(no_docs, store)).count() == 0
@@ -159,7 +184,7 @@ def test_links_that_no_tree_shows_are_found(spark, store, monkeypatch):
 
 def test_crowded_orders_go_on_through_further_minima(spark, store):
     rows = [(bytes([i, 0]), bytes(4 * forest.SIGNATURE - 1) + bytes([i % 7])) for i in range(40)]
-    found = forest._regions(spark.createDataFrame(rows, "cls binary, signature binary"), store)
+    found = forest._regions(spark.createDataFrame(rows, "cls binary, signature binary"), store)[1]
     last = forest.TREES - 1
     for row in found.where(f"tree < {last}").collect():
         assert len(row["deeper"]) == 4 * (forest.SIGNATURE - forest.DEPTH)
