@@ -7,21 +7,21 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.operators import catalog, lookup, paths, recommend, search, stats
 from talkloom.sources import bindings
-from talkloom.sources.scratch import keep, use_when_unset
+from talkloom.sources.files import clustered, write_bucketed
+from talkloom.sources.scratch import keep, scratch_dir, use_when_unset
 
 try:
     import corpus_pipeline
     from talkloom.llm import queries as llm
-except ModuleNotFoundError as missing:
-    # the folder may be left out; anything else that is missing is an error
-    if missing.name not in ("corpus_pipeline", "talkloom.llm"):
-        raise
+except ModuleNotFoundError:
+    # the folder, or a module that only it needs, may be left out
     corpus_pipeline = llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -31,6 +31,9 @@ ASKED_TALK = "17"
 ASKED_USER = "17"
 ASKED_TAG = "PART-17"
 ASKED_SPEAKER = "customer#0+1?7$"
+ASKED_WORD = "urgent"
+#: few enough for the small test tables
+BUCKETS = 8
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -46,11 +49,21 @@ def _orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 _written: dict[tuple, DataFrame] = {}
 
 
-def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A collection written once for each session and folder, as the jobs do, then read."""
+def _stored(
+    spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame], buckets_by: str | None = None
+) -> DataFrame:
+    """A collection written once for each session and folder, as the jobs do, then read.
+
+    ``buckets_by``: dealt to buckets by this key, for joins.
+    """
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _written:
-        _written[key] = keep(build(), name)
+        if buckets_by:
+            table = f"{name}_{uuid4().hex}".replace("-", "_")
+            path = f"{scratch_dir(spark)}/{table}"
+            _written[key] = write_bucketed(build(), path, table, buckets_by, BUCKETS)
+        else:
+            _written[key] = keep(build(), name)
     return _written[key]
 
 
@@ -59,11 +72,21 @@ def _orders_profiles(spark: SparkSession, sf: str) -> DataFrame:
         tables = bindings.orders_catalog(spark, sf)
         return catalog.talk_profiles(tables.talks, tables.tags)
 
-    return _stored(spark, sf, "videos", build)
+    return _stored(spark, sf, "videos", build, "video_id")
+
+
+def _orders_tag_index(spark: SparkSession, sf: str) -> DataFrame:
+    def build() -> DataFrame:
+        return clustered(search.tag_index(_orders_profiles(spark, sf)), "tag")
+
+    return _stored(spark, sf, "video-tags", build)
 
 
 def _orders_lists(spark: SparkSession, sf: str) -> DataFrame:
-    return _stored(spark, sf, "watch-next", lambda: recommend.watch_next(*_orders(spark, sf)))
+    def build() -> DataFrame:
+        return recommend.watch_next(*_orders(spark, sf))
+
+    return _stored(spark, sf, "watch-next", build, "_id")
 
 
 def _documents_profiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,10 +299,20 @@ def _learning_stats_odd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _search_by_tag(spark: SparkSession, sf: str) -> DataFrame:
-    hits = search.search_by_tag(_orders_profiles(spark, sf), ASKED_TAG)
+    index = _orders_tag_index(spark, sf)
+    hits = search.search_by_tag(_orders_profiles(spark, sf), ASKED_TAG, index=index)
     return hits.withColumn("tags", _joined("tags"))
 
 
+def _search_talks(spark: SparkSession, sf: str) -> DataFrame:
+    """Urgent orders above a price and within some years, by the users who saw them."""
+    tables = bindings.orders_catalog(spark, sf)
+    talks = catalog.enrich_catalog(tables.talks, tables.details)
+    progress = bindings.events_progress(spark, sf)
+    hits = search.search_talks(talks, progress, ASKED_WORD, 100_000, 400_000.5, 1996, 1999, 50)
+    return hits.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd"))
+
+
 def _search_by_speaker(spark: SparkSession, sf: str) -> DataFrame:
     return search.search_by_speaker(_orders_profiles(spark, sf), ASKED_SPEAKER)
 
@@ -347,6 +380,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "learning_stats_odd": _learning_stats_odd,
         "search_by_tag": _search_by_tag,
         "search_by_speaker": _search_by_speaker,
+        "search_talks": _search_talks,
         "get_talk": _get_talk,
         "get_talks": _get_talks,
     }
@@ -632,6 +666,18 @@ def core_oracle_sql() -> dict[str, str]:
         "search_by_speaker": f"""with {_ORDERS}
             select video_id, title, speakers, url from profiles
             where regexp_matches(speakers, '(?i){ASKED_SPEAKER}') order by video_id limit 5""",
+        "search_talks": f"""with {_ORDERS},
+            seen as (
+                select json_extract_string(props, '$.k') as id, count(distinct user_id) as viewers
+                from events where event_type in ('view', 'click', 'purchase') group by 1)
+            select talks.id, title, speakers, url, duration::double as duration_s,
+                   strftime("publishedAt"::timestamp, '%Y-%m-%d') as published_at,
+                   coalesce(viewers, 0) as viewers
+            from talks join details using (id) left join seen using (id)
+            where (contains(lower(title), '{ASKED_WORD}') or contains(lower(description), '{ASKED_WORD}'))
+              and duration::double between 100000 and 400000.5
+              and year("publishedAt"::timestamp) between 1996 and 1999
+            order by viewers desc, id limit 50""",
         "get_talk": f"with {_ORDERS} select * from profiles where video_id = '{ASKED_TALK}'",
         "get_talks": f"""with {_ORDERS}, {_REQUESTS}
             select profiles.* from profiles where video_id in (select talk_id from requests)""",

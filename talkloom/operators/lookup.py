@@ -1,4 +1,8 @@
-"""Answering lookups: recommendations of requested talks, and single talks."""
+"""Answering lookups: recommendations of requested talks, and single talks.
+
+Stored lists and profiles may be bucketed by talk id (``write_bucketed``). Requests and
+listed ids are then brought to the buckets, and the stored rows stay where they are.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +21,7 @@ def _requested(requests: DataFrame) -> DataFrame:
 
 def _listed(requests: DataFrame, watch_next: DataFrame) -> DataFrame:
     lists = watch_next.select(F.col("_id").alias("talk_id"), "recommendations")
-    return _requested(requests).join(lists, "talk_id", "left")
+    return _requested(requests).join(lists.hint("merge"), "talk_id", "left")
 
 
 def resolve_watch_next(
@@ -41,7 +45,7 @@ def resolve_watch_next(
     )
     # A list is short, so the answer of a talk is bounded.
     answers = (
-        rows.join(talks, F.col("rec.video_id") == F.col("rec_id"))
+        rows.join(talks.hint("merge"), F.col("rec.video_id") == F.col("rec_id"))
         .groupBy("talk_id")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
@@ -74,7 +78,8 @@ def get_watch_next(
     """
     first = F.slice("recommendations", 1, limit)
     rows = _listed(requests, watch_next).select("talk_id", F.posexplode(first).alias("pos", "rec"))
-    return rows.join(profiles, F.col("rec.video_id") == F.col("video_id")).select(
+    talks = profiles.hint("merge")
+    return rows.join(talks, F.col("rec.video_id") == F.col("video_id")).select(
         "talk_id",
         "pos",
         *profiles.columns,

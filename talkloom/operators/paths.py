@@ -67,11 +67,31 @@ def speaker_members(profiles: DataFrame, unique: bool = False) -> DataFrame:
     return _members(profiles, everyone, F.length("title") > 0, unique)
 
 
+def topic_sets(
+    profiles: DataFrame, unique: bool = False, min_length: int = MIN_TOPIC_LENGTH
+) -> DataFrame:
+    """Each talk's distinct topics: video_id and titles, every tag long enough, case kept.
+
+    ``unique`` is as for :func:`speaker_members`.
+    """
+    titles = F.filter(
+        F.array_distinct(F.transform("tags", strip)),
+        lambda t: t.isNotNull() & (F.length(t) >= min_length),
+    )
+    sets = profiles.select(talk_ids(profiles).alias("video_id"), titles.alias("titles"))
+    sets = sets.where(F.col("video_id").isNotNull())
+    if unique:
+        return sets
+    each = F.array_distinct(F.flatten(F.collect_list("titles")))
+    return sets.groupBy("video_id").agg(each.alias("titles"))
+
+
 def topic_members(
     profiles: DataFrame, unique: bool = False, min_length: int = MIN_TOPIC_LENGTH
 ) -> DataFrame:
     """Distinct (title, video_id): every tag long enough with its talks, case kept."""
-    return _members(profiles, F.col("tags"), F.length("title") >= min_length, unique)
+    sets = topic_sets(profiles, unique, min_length)
+    return sets.select("video_id", F.explode("titles").alias("title"))
 
 
 def _members(profiles: DataFrame, names: Column, wanted: Column, unique: bool) -> DataFrame:
@@ -138,34 +158,43 @@ def topic_paths(
 
 
 def drop_near_duplicates(
-    ranked: DataFrame, members: DataFrame, threshold: float = NEAR_DUPLICATE
+    ranked: DataFrame, sets: DataFrame, threshold: float = NEAR_DUPLICATE
 ) -> DataFrame:
     """Ranked paths without those that repeat a kept path of better rank.
 
     In rank order a path stays unless its Jaccard overlap with some path already
-    kept reaches ``threshold``. A talk lists the few ranked paths it is in, the
-    pairs are summed before they are shuffled, and the pass over the at most
-    ``max_paths`` ranks handles ranks only, never talk ids.
+    kept reaches ``threshold``. ``sets`` has video_id and titles, a row a talk. A talk's own
+    titles give its mask, the few ranked paths it is in; equal masks are counted
+    before anything is shuffled, pairs come from the different masks, and the pass over the
+    at most ``max_paths`` ranks handles ranks only, never talk ids.
     """
-    sizes = F.broadcast(ranked.select("rank", "title", "video_count"))
+    # one row with a map of at most max_paths titles
+    named = ranked.agg(
+        F.map_from_entries(
+            F.collect_list(F.struct("title", F.struct("rank", "video_count")))
+        ).alias("places")
+    ).select(F.lit(1).alias("one"), "places")
+    place = F.transform("titles", lambda t: F.element_at("places", t))
+    masks = (
+        sets.withColumn("one", F.lit(1))
+        .join(F.broadcast(named), "one")
+        .select(F.array_sort(F.array_compact(place)).alias("paths"))
+        .where(F.size("paths") > 1)
+        .groupBy("paths")
+        .agg(F.count("*").alias("talks"))
+    )
     pair = F.struct(
         F.col("b.rank").alias("rank"),
         F.col("a.rank").alias("other"),
         F.col("b.video_count").alias("size"),
         F.col("a.video_count").alias("other_size"),
     )
-    per_talk = (
-        members.join(sizes, "title")
-        .groupBy("video_id")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "video_count"))).alias("paths"))
-        .where(F.size("paths") > 1)
-    )
     common = (
-        per_talk.select("paths", F.posexplode("paths").alias("at", "a"))
-        .select("a", F.explode(F.slice("paths", F.col("at") + 2, F.size("paths"))).alias("b"))
-        .select(pair.alias("pair"))
+        masks.select("talks", "paths", F.posexplode("paths").alias("at", "a"))
+        .select("talks", "a", F.explode(F.slice("paths", F.col("at") + 2, F.size("paths"))).alias("b"))
+        .select("talks", pair.alias("pair"))
         .groupBy("pair.rank", "pair.other", "pair.size", "pair.other_size")
-        .agg(F.count("*").alias("common"))
+        .agg(F.sum("talks").alias("common"))
     )
     union = F.col("size") + F.col("other_size") - F.col("common")
     clashes = (
@@ -198,10 +227,11 @@ def distinct_topic_paths(
     threshold: float = NEAR_DUPLICATE,
 ) -> DataFrame:
     """The largest topic paths without near-duplicates; the cut comes first."""
-    members = topic_members(profiles, unique)
-    # the few ranked rows are read four times and counted once
+    sets = topic_sets(profiles, unique)
+    members = sets.select("video_id", F.explode("titles").alias("title"))
+    # the few ranked rows are read three times and counted once
     ranked = keep(rank_paths(members, "topic", min_talks, max_paths), "ranked-topics")
-    left = keep(drop_near_duplicates(ranked, members, threshold), "distinct-topics")
+    left = keep(drop_near_duplicates(ranked, sets, threshold), "distinct-topics")
     return path_members(left, members)
 
 

@@ -8,18 +8,37 @@ counts come from the write itself.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
-from talkloom.operators import catalog, paths, recommend
+from talkloom.operators import catalog, paths, recommend, search
 from talkloom.sources.files import Catalog, read_collection, write_collection
 
 
+#: what collections are looked up by
+KEYS = {
+    "tedx_final_list": "id",
+    "tedx_details": "id_ref",
+    "tedx_tags": "_id",
+    "tedx_videos": "video_id",
+    "tedx_video_tags": "tag",
+    "tedx_watch_next": "_id",
+    "tag_path_members": "_id",
+    "tedx_user_progress": "userId",
+    "tedx_quiz_results": "userId",
+}
+
+
 def _write_counted(df: DataFrame, base: str, name: str) -> int:
     seen = Observation()
-    write_collection(df.observe(seen, F.count(F.lit(1)).alias("rows")), base, name)
+    write_collection(df, base, name, key=KEYS.get(name), seen=seen)
     return seen.get["rows"]
 
 
+def load_records(progress: DataFrame, quizzes: DataFrame, base: str) -> dict[str, int]:
+    """Write progress and quiz records, clustered by user."""
+    frames = {"tedx_user_progress": progress, "tedx_quiz_results": quizzes}
+    return {name: _write_counted(df, base, name) for name, df in frames.items()}
+
+
 def load_catalog(tables: Catalog, base: str) -> dict[str, int]:
     """Write the five catalog collections; gives the rows of each."""
     frames = {
@@ -33,14 +52,17 @@ def load_catalog(tables: Catalog, base: str) -> dict[str, int]:
 
 
 def generate_recommendations(tables: Catalog, base: str) -> dict[str, int]:
-    """Write talk profiles and recommendation lists."""
+    """Write talk profiles, the index of their tags and recommendation lists."""
+    spark = tables.talks.sparkSession
+    profiles = catalog.talk_profiles(tables.talks, tables.tags)
+    written = {"tedx_videos": _write_counted(profiles, base, "tedx_videos")}
     frames = {
-        "tedx_videos": catalog.talk_profiles(tables.talks, tables.tags),
+        "tedx_video_tags": search.tag_index(read_collection(spark, base, "tedx_videos")),
         "tedx_watch_next": recommend.watch_next(
             catalog.clean_tags(tables.tags), catalog.clean_related(tables.related)
         ),
     }
-    return {name: _write_counted(df, base, name) for name, df in frames.items()}
+    return written | {name: _write_counted(df, base, name) for name, df in frames.items()}
 
 
 def create_tag_paths(tables: Catalog, base: str) -> dict[str, int]:
@@ -56,7 +78,7 @@ def create_tag_paths(tables: Catalog, base: str) -> dict[str, int]:
 def refresh_paths(spark: SparkSession, base: str) -> DataFrame:
     """Rebuild the paths collection from the written profiles; gives the summary.
 
-    Without any profile the old paths stay and the job fails.
+    Without any profile, and when the write fails, the old paths stay and the job fails.
     """
     profiles = read_collection(spark, base, "tedx_videos")
     if profiles.isEmpty():

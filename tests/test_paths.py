@@ -82,7 +82,8 @@ def test_greedy_pass_against_brute_force(spark, seed):
         [(t, v) for t, vs in sets.items() for v in vs], "title string, video_id string"
     )
     ranked = paths.rank_paths(members, "topic")
-    kept = paths.drop_near_duplicates(ranked, members, 0.6).orderBy("rank").collect()
+    titles = members.groupBy("video_id").agg(F.collect_list("title").alias("titles"))
+    kept = paths.drop_near_duplicates(ranked, titles, 0.6).orderBy("rank").collect()
     assert [r["title"] for r in kept] == _greedy(sets, 0.6, 30)
 
 
@@ -105,3 +106,11 @@ def test_kept_topics_overlap_less_than_the_threshold(profiles):
     assert all(
         len(a & b) / len(a | b) < paths.NEAR_DUPLICATE for i, a in enumerate(kept) for b in kept[:i]
     )
+
+
+def test_near_duplicates_of_unique_profiles_need_no_shuffle_by_talk(profiles):
+    sets = paths.topic_sets(profiles, unique=True)
+    ranked = paths.rank_paths(paths.topic_members(profiles, unique=True), "topic")
+    left = paths.drop_near_duplicates(ranked, sets)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "hashpartitioning(video_id" not in plan
