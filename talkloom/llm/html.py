@@ -4,12 +4,15 @@ A page is read as a row of tags and words. Words score positive and tags
 negative on the whole; the weight of each kind (a word by the element it is in, a
 tag by its name) is the log odds of lying inside the content, counted over labelled
 pages: those whose markup names the content with exactly one ``article`` or
-``main`` element. One linear scan finds the contiguous run with the largest sum.
+``main`` element, or one ``article`` in one ``main``. One linear scan finds the contiguous run with the largest sum.
 Of that run the blocks are returned, without elements that never hold the article
 (menus, footers, asides, scripts) and without those whose class, id or role names them
 as furniture, forms and headers, unless they wrap the article: an element stays if it
 holds the article or main element, holds over half of the words of the page or of the
-content element around it, or is a heading block in the content.
+content element around it, or is a heading block in the content. Inside the content only
+whole names of containers count, not parts of names nor those of paragraphs, quotes, lists
+and tables; and names that articles use as well (search, related, share, widget and the
+like) only with form controls or where links hold half of the words.
 
 Null or empty html, and pages without a run above 0, give an empty text. Of two
 runs with the same sum the earlier and then the longer one wins. Rows are
@@ -36,7 +39,7 @@ SAMPLE_PAGES = 2_000
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+'|["'])*?)(/?)>""",
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'/]++|"[^"]*+"|'[^']*+'|["']|/(?!>))*+)(/?)>""",
     re.S,
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -78,20 +81,31 @@ _SIBLINGS = {
 _CONTENT = {"article", "main"}
 # These wrap a whole page at times, so they are judged like elements with a name of furniture.
 _WRAPS = {"form", "fieldset"}
+# Names that need the make-up of furniture beside them inside the content.
+_DOUBTFUL = {
+    "header", "masthead", "banner", "share", "sharing", "social", "related", "recommended", "search",
+    "login", "signup", "widget", "reply", "popup", "modal", "overlay", "form", "fieldset",
+}
+_CONTROLS = {"tag input", "tag button", "tag select", "tag textarea"}
+# Elements of running text, which no name makes furniture inside the content.
+_TEXT = {
+    "p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th",
+    "figure", "figcaption", "table", "tr", "tbody", "thead",
+}
 _HEADER = {"header", "masthead", "banner"}
 _HEADINGS = {"tag h1", "tag h2", "tag h3", "tag h4", "tag h5", "tag h6"}
 _WHITE = re.compile(r"\s")
 
 
 def _furniture(name: str, attributes: str, in_content: bool) -> set[str]:
-    """What names an element as furniture."""
-    if name in _CONTENT or name in ("html", "body"):
+    """What names an element as furniture; inside the content only whole names count."""
+    if name in _CONTENT or name in ("html", "body") or (in_content and name in _TEXT):
         return set()
     named = {name} if name in _WRAPS or (name == "header" and not in_content) else set()
     if "=" in attributes:
         for found in _NAMES.finditer(attributes):
             value = (found[1] or found[2] or found[3] or "").lower()
-            named |= _FURNITURE.intersection(_PARTS.findall(value))
+            named |= _FURNITURE.intersection(value.split() if in_content else _PARTS.findall(value))
     return named
 
 
@@ -115,18 +129,24 @@ def tokens(page: str) -> list[Token]:
     if not elements:
         return row
     words = [0] * len(elements)
+    linked = [0] * len(elements)
+    controls = [False] * len(elements)
     held: list[set[int]] = [set() for _ in elements]  # the content elements in each
     around = [-1] * len(elements)  # the content element around each
     heads = [False] * len(elements)
     seen: set[int] = set()
     total = 0
     for token in row:
+        if token.kind in _CONTROLS:
+            for e in token.inside:
+                controls[e] = True
         if token.dropped:
             continue
         if token.text is not None:
             total += token.words
             for e in token.inside:
                 words[e] += token.words
+                linked[e] += token.words if token.kind.endswith(" a") else 0
         elif token.kind in _HEADINGS:
             for e in token.inside:
                 heads[e] = True
@@ -148,6 +168,7 @@ def tokens(page: str) -> list[Token]:
             not named
             or any(2 * words[c] >= most for c in held[e])
             or 2 * words[e] > whole
+            or (around[e] >= 0 and named <= _DOUBTFUL and not controls[e] and 2 * linked[e] < words[e])
             or (around[e] >= 0 and heads[e] and named <= _HEADER)
         ):
             kept.add(e)
@@ -263,22 +284,23 @@ def main_text(page: str, weights: Weights) -> str:
     blocks: dict[int, list[str]] = {}
     for token in row[start:end]:
         if token.text is not None and not token.dropped:
-            blocks.setdefault(token.block, []).append(token.text)
-    joined = (" ".join(references.unescape("".join(parts)).split()) for parts in blocks.values())
+            blocks.setdefault(token.block, []).append(references.unescape(token.text))
+    joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(text for text in joined if text)
 
 
 def kind_counts(page: str) -> Counter:
     """Tokens in the content, outside of it, or (None) in furniture; empty if unlabelled."""
     row = list(tokens(page))
-    opened = sum(t.kind in ("tag article", "tag main") for t in row)
+    opened = [t.kind for t in row if t.kind in ("tag article", "tag main")]
     counts: Counter = Counter()
-    if opened != 1:
+    if len(opened) != 1 and opened != ["tag main", "tag article"]:
         return counts
     for token in row:
         if token.kind.removeprefix("tag ").lstrip("/") in _CONTENT:
             continue
-        inside = None if token.dropped else token.content > 0
+        # of an article in a main element the article is the content
+        inside = None if token.dropped else token.content >= len(opened)
         counts[token.kind, inside] += token.words if token.text is not None else 1
     return counts
 
@@ -311,9 +333,8 @@ def fit_weights(pages: DataFrame, html: str = "html", rows: int = SAMPLE_PAGES)
         F.sum(F.when(~F.col("inside"), F.col("n")).otherwise(0)).alias("no"),
         F.sum(F.when(F.col("inside").isNull(), F.col("n")).otherwise(0)).alias("furniture"),
     )
-    table = table.orderBy(F.desc(F.col("yes") + F.col("no") + F.col("furniture")), "kind")
     weights = Weights()
-    for kind, yes, no, furniture in table.limit(1000).collect():
+    for kind, yes, no, furniture in table.collect():  # bounded by the sample
         if yes + no:
             odds = max(-2.0, min(2.0, math.log((yes + 0.5) / (no + 0.5))))
         else:  # seen in furniture alone, which the scan leaves out: a weak sign

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from talkloom.llm import html, mixing, quality, rules, sharding, tokenize
 
@@ -264,3 +265,55 @@ def test_wrappers_with_names_of_furniture_keep_the_article():
     assert found == "The news of today\n" + ("word " * 50).strip()
     form = "<form><p>your name</p></form>"
     assert "name" not in html.main_text(f"<body><article>{text}{form}</article></body>", weights)
+
+
+def test_page_cut_off_in_a_long_tag():
+    """Time does not grow with the ways to read the quotes of a tag without an end."""
+    import time
+
+    for tail in ["<div " + 'a="b" ' * 1000, "<div " + "a='b\" " * 1000, "<p " + '"' * 3000, "<div " + "a/" * 3000]:
+        start = time.perf_counter()
+        assert html.main_text("<article><p>one two</p></article>" + tail, html.Weights()).startswith("one two")
+        assert time.perf_counter() - start < 1
+    page = "<p title='a > b'>one and one and one</p><img src=\"x>y\"/><p class=it's>two and two and two</p>"
+    assert html.main_text(page, html.Weights()) == "one and one and one\ntwo and two and two"
+
+
+def test_articles_use_names_of_furniture_too():
+    kept = [
+        '<section id="related-work"><h2>Other</h2><p>Some prose of others.</p></section>',
+        '<p class="notice-board">On the board.</p>', '<div class="search">The long search for words.</div>',
+        '<blockquote class="share-quote">A quote.</blockquote>', '<p class="widget">About widgets.</p>',
+    ]
+    gone = [
+        '<div class="ad">Buy this</div>', '<div class="share"><a href="x">Tweet</a> <a href="y">Mail</a></div>',
+        '<div class="search"><input name="q">Find</div>', '<div class="comments"><p>First!</p></div>',
+    ]
+    story = "<p>" + "The story goes on and on. " * 20 + "</p>"
+    for part in [*kept, *gone]:
+        text = html.main_text(f"<body><nav>Menu</nav><article>{story}{part}{story}</article></body>", html.Weights())
+        assert (text.count("\n") >= 2) == (part in kept), part
+
+
+def test_main_with_an_article_is_labelled():
+    page = "<main><div class='lead'>Top</div><article><p>Body of it</p></article><p>After</p></main>"
+    counts = html.kind_counts(page)
+    assert counts["word p", True] == 3 and counts["word p", False] == 1
+
+
+def test_references_are_decoded_before_parts_are_joined():
+    page = "<p>a &am<b>p;</b> b &amp; c</p>"
+    assert html.main_text(page, html.Weights()) == "a &amp; b & c"
+
+
+def test_very_many_equal_records_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 1_000)
+    docs = spark.range(30_000).selectExpr("case when id < 25500 then 1 else id end as doc_id", "'same' as text")
+    records = sharding.records_of(docs)
+    assert records.count() == 30_000
+    hot = records.where("doc_id = 1").groupBy("virtual_slot").count()
+    assert hot.agg(F.max("count")).first()[0] < 60
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    by_task = records.where("doc_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(by_task) > 1 and sum(r["count"] for r in by_task) == 25_500
