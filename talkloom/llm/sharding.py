@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: equal records that one row stands for at the most
+CHUNK = 100_000
 SLOTS = 4096
 MAP_SCHEMA = "version int, slot int, shard int"
 
@@ -99,7 +101,13 @@ def records_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     )
     # equal records are only told apart by a number, so a count gives them back
     counted = rows.groupBy(*record).agg(F.count("*").alias("_n"))
-    numbered = counted.select(*record, F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_copy"))
+    # in two steps with a shuffle between, so that one record with very many copies is spread
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / CHUNK))
+    chunked = counted.select(*record, "_n", F.explode(chunks).alias("_chunk"))
+    chunked = chunked.repartition(*record, "_chunk")
+    first = F.col("_chunk") * CHUNK + 1
+    copies = F.sequence(first, F.least(first + (CHUNK - 1), F.col("_n")))
+    numbered = chunked.select(*record, F.explode(copies).alias("_copy"))
     return numbered.select(*record, slot_of(*record, "_copy").alias("virtual_slot"))
 
 
