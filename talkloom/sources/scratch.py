@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 # hold whole texts; fewer at once need less memory.
 WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 _SETTING = "spark.checkpoint.dir"
 _default: str | None = None
@@ -40,8 +40,8 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _settings(spark: SparkSession) -> Iterator[None]:
-    """The session with ``WHILE_WRITING``, then as it was."""
+def with_small_batches(spark: SparkSession) -> Iterator[None]:
+    """The session with ``WHILE_WRITING``, then as it was; also for actions that write nothing."""
     before = {name: spark.conf.get(name, None) for name in WHILE_WRITING}
     for name, value in WHILE_WRITING.items():
         spark.conf.set(name, value)
@@ -60,6 +60,6 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid4().hex}"
-    with _settings(spark):
+    with with_small_batches(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
