@@ -47,6 +47,7 @@ from talkloom.llm.arrow import map_batches, map_partitions
 from talkloom.llm.components import components
 from talkloom.llm.slots import among, bitmap
 from talkloom.llm.words import Slice, SpanHash, lower_ascii, mix, slices, version, words
+from talkloom.sources.scratch import with_small_batches
 
 SHINGLE = 5
 TREES = 24
@@ -378,7 +379,8 @@ def _slot_counts(sets: DataFrame) -> np.ndarray:
 
     schema = "part int, places binary, counts binary"
     counted = map_partitions(sets.select("text"), count, schema).repartition("part")
-    table = map_partitions(counted, add, schema).toArrow()
+    with with_small_batches(sets.sparkSession):
+        table = map_partitions(counted, add, schema).toArrow()
     out = np.zeros((SLOTS // each, each), dtype=np.uint32)
     for part, places, counts in zip(*(column.to_pylist() for column in table.columns)):
         out[part, np.frombuffer(places, np.uint16)] = np.frombuffer(counts, np.uint32)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from talkloom.llm.arrow import map_partitions
 from talkloom.llm.rules import STATISTICS, batch_statistics, features, labelled_sample, text_statistics
+from talkloom.sources.scratch import with_small_batches
 
 SAMPLE_ROWS = 20_000
 MOST_STRENGTH = 10_000.0
@@ -77,11 +78,12 @@ def fit_classifier(x: np.ndarray, good: np.ndarray, steps: int = 30) -> Classifi
 def _with_evidence(docs: DataFrame, model: Classifier) -> DataFrame:
     """``row`` (all columns as a struct) and ``evidence`` of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = batch_statistics(batch.column(1))
+            table = batch_statistics(batch.column(0).field(at))
             if len(table):
                 found = shared.value.evidence(features(table))
                 yield pa.RecordBatch.from_arrays(
@@ -165,7 +167,8 @@ def fit_sites(
     """Fit classifier and site posteriors; ``store`` writes the sums of each site and the posteriors."""
     sample = labelled_sample(docs, labels, label, key, SAMPLE_ROWS)
     table = text_statistics(sample.select(key, "text"), key)
-    rows = table.join(sample.select(key, "label"), key).drop_duplicates([key]).toPandas()
+    with with_small_batches(docs.sparkSession):
+        rows = table.join(sample.select(key, "label"), key).drop_duplicates([key]).toPandas()
     rows = rows.sort_values(key, kind="stable")
     x = features(rows[[*STATISTICS, "n_lines", "n_upper"]].to_numpy(np.int64).reshape(-1, 7))
     good = rows["label"].to_numpy(int) == 1
