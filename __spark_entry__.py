@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom.operators import catalog, lookup, paths, recommend, search, stats
+from talkloom.plans import jobs
 from talkloom.sources import bindings
-from talkloom.sources.files import clustered, write_bucketed
+from talkloom.sources.files import clustered, read_collection, write_bucketed
 from talkloom.sources.scratch import keep, scratch_dir, use_when_unset
 
 try:
@@ -298,6 +299,56 @@ def _learning_stats_odd(spark: SparkSession, sf: str) -> DataFrame:
     return stats.learning_stats(rows, rows)
 
 
+def _load_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Write the five collections and read them back: rows as the job counted them and as found."""
+    base = f"{scratch_dir(spark)}/catalog-{uuid4().hex}"
+    counted = jobs.load_catalog(bindings.orders_catalog(spark, sf), base)
+    names = spark.createDataFrame(list(counted.items()), "name string, counted bigint")
+    found = None
+    for name in counted:
+        rows = read_collection(spark, base, name).agg(F.count("*").alias("found"))
+        rows = rows.withColumn("name", F.lit(name))
+        found = rows if found is None else found.unionByName(rows)
+    return names.join(found, "name")
+
+
+def _listed_speaker_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer and clerk as listed speakers with blanks and gaps, priority as presenter.
+
+    Every third order has its id in ``_id`` only, every seventh none at all.
+    """
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    number = F.col("o_orderkey")
+    own = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    profiles = orders.select(
+        F.when(number % 7 == 0, F.lit(None)).when(number % 3 == 0, F.lit("")).otherwise(number.cast("string"))
+        .alias("video_id"),
+        F.when(number % 7 != 0, number.cast("string")).alias("_id"),
+        F.array(F.concat(F.lit(" \t"), own), own, F.lit(None), F.lit(" ")).alias("speakers"),
+        F.when(number % 2 == 0, F.col("o_orderpriority")).alias("presenterDisplayName"),
+    )
+    return _flat_paths(paths.speaker_paths(profiles))
+
+
+def _resolve_bare_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists whose entries lack the score or the reasons."""
+    lists = _orders_lists(spark, sf).select(
+        "_id",
+        F.transform(
+            "recommendations",
+            lambda r, i: F.struct(
+                r["video_id"].alias("video_id"),
+                F.when(i % 2 == 0, r["score"]).alias("score"),
+                F.when(i % 3 == 0, r["reasons"]).alias("reasons"),
+            ),
+        ).alias("recommendations"),
+    )
+    rows = lookup.get_watch_next(_requests(spark, sf), lists, _orders_profiles(spark, sf), 10)
+    return rows.select(
+        "talk_id", F.col("pos").cast("bigint").alias("pos"), "video_id", "score", _joined("reasons")
+    )
+
+
 def _search_by_tag(spark: SparkSession, sf: str) -> DataFrame:
     index = _orders_tag_index(spark, sf)
     hits = search.search_by_tag(_orders_profiles(spark, sf), ASKED_TAG, index=index)
@@ -381,6 +432,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_by_tag": _search_by_tag,
         "search_by_speaker": _search_by_speaker,
         "search_talks": _search_talks,
+        "load_catalog": _load_catalog,
+        "listed_speaker_paths": _listed_speaker_paths,
+        "resolve_bare_lists": _resolve_bare_lists,
         "get_talk": _get_talk,
         "get_talks": _get_talks,
     }
@@ -666,6 +720,27 @@ def core_oracle_sql() -> dict[str, str]:
         "search_by_speaker": f"""with {_ORDERS}
             select video_id, title, speakers, url from profiles
             where regexp_matches(speakers, '(?i){ASKED_SPEAKER}') order by video_id limit 5""",
+        "load_catalog": f"""with {_ORDERS},
+            counts as (
+                select 'tedx_final_list' as name, count(*) as n from talks left join details using (id)
+                union all select 'tedx_details', count(*) from details
+                union all select 'tedx_tags', count(distinct id) from raw_tags
+                union all select 'tedx_images', count(*) from orders
+                union all select 'tedx_related_videos', count(*) from raw_related where related_id is not null)
+            select name, n as counted, n as found from counts""",
+        "listed_speaker_paths": f"""with
+            members as (
+                select distinct o_orderkey::varchar as video_id, unnest(
+                    case when o_orderkey % 2 = 0 then ['c' || o_custkey, trim(o_orderpriority)]
+                         else ['c' || o_custkey] end) as title
+                from orders where o_orderkey % 7 <> 0),
+            {_ranked_paths("speaker", "members", "top_speakers")}
+            {_path_rows("speaker", "members", "top_speakers")}""",
+        "resolve_bare_lists": f"""with {_ORDERS}, {_PAIRS}, {_RANKED}, {_REQUESTS}
+            select talk_id, rank - 1 as pos, b as video_id,
+                   case when (rank - 1) % 2 = 0 then score else 0 end as score,
+                   case when (rank - 1) % 3 = 0 then reasons else '' end as reasons
+            from requests join ranked on a = talk_id join profiles on b = video_id""",
         "search_talks": f"""with {_ORDERS},
             seen as (
                 select json_extract_string(props, '$.k') as id, count(distinct user_id) as viewers

@@ -25,3 +25,9 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(entry.core_queries()))
 def test_query(spark, con, name):
     assert compare(spark, con, SF_DIR, entry.core_queries()[name], entry.core_oracle_sql()[name]) > 0
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry.core_queries() if n.startswith("learning_stats")))
+def test_statistics_on_the_larger_tables(spark, name):
+    folder = "/root/testdata/sf0.01"
+    assert compare(spark, views(folder), folder, entry.core_queries()[name], entry.core_oracle_sql()[name]) > 0
