@@ -13,13 +13,13 @@ are cut map-side before they are shuffled. Partitions are cut into blocks of
 bounded size, so no task holds a whole partition.
 
 Vectors that are null, zero, hold null or non-finite components, or are not as
-long as most vectors take no part. Repeated ids are one row. Ties go to the smaller
+long as most vectors take no part. Rows of one id are one row, that of the smallest vector. Ties go to the smaller
 id. An empty table gives an empty result. Further columns do not matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,7 +115,8 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     rows = rows.where(F.exists(v, lambda c: c != 0.0))
     sizes = rows.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").limit(1)
     most = sizes.first()
-    return rows.where(F.size(v) == (most["n"] if most else 0))
+    rows = rows.where(F.size(v) == (most["n"] if most else 0))
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
 
 
 def _distinct(rows: DataFrame, top: int) -> DataFrame:
@@ -186,14 +187,18 @@ def nearest(
     vector: str = "embedding",
     recall: float = 0.97,
     sample_rows: int = SAMPLE_ROWS,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """The ``top`` nearest rows of ``vectors`` found for each row of ``queries``.
 
     Columns: query_id, rank (from 1), the key, score. A row is never its own neighbour.
+    ``store`` writes the index's entries, which are read three times.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector)
     entries = _distinct(rows, top + 1)
+    if store:
+        entries = store(entries, "index-entries")
     count = entries.count()
     router = spark.sparkContext.broadcast(fit_router(entries, count, top, recall, sample_rows))
 

@@ -12,7 +12,10 @@ host with a third of all rows is no hot spot.
 
 Null host or path is a site of its own. Null and empty texts have the statistics
 0. Repeated rows count each. Without labelled documents of both kinds every
-document is kept. Further columns are kept as they are, whatever their names.
+document is kept. Further columns are kept as they are, whatever their names. Texts of any
+length are read whole. An empty table gives an empty result. Where a table has no url, other
+columns stand in: by default ``source`` for the host and ``lang`` for the path, which has
+few values and so hardly any sparse site to shrink.
 """
 
 from __future__ import annotations

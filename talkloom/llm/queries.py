@@ -21,7 +21,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def op1_learned_partitions(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _table(spark, sf, "embeddings")
-    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), store=keep)
 
 
 def op2_suffix_array(spark: SparkSession, sf: str) -> DataFrame:

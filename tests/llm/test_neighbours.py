@@ -62,3 +62,14 @@ def test_few_and_no_rows(spark):
         (0, 1, 3, 1.0), (0, 2, 20, 0.0), (20, 1, 3, 2.0), (20, 2, 0, 0.0),
     ]
     assert neighbours.nearest(few.where("false"), few.where("false")).count() == 0
+
+
+def test_rows_of_one_id_are_one_row(spark, store):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)]
+    twice = [*rows, (20, [-9.0, 0.0, 0.0, 0.0]), (20, [9.0, 0.0, 0.0, 0.0]), (7, [-8.0, 1.0, 1.0, 1.0])]
+    vectors = spark.createDataFrame(twice, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), store=store).toPandas()
+    least = {i: min(v for j, v in twice if j == i) for i in range(40)}
+    for query, hits in found.groupby("query_id"):
+        assert hits.sort_values("rank")["vec_id"].tolist() == _exact(list(least.items()), query, 20)
