@@ -11,26 +11,32 @@ in [0, 1) is added, and a document is emitted once for each integer passed. The
 order runs through classes of similar size, so that the words taken come near
 the target. A document's rank is the rows of all earlier blocks of its source
 plus its row number within the block; blocks are cut by size class and a hash of
-the id, so no task holds a whole source. Only block counts, of which there are
-at most classes x ``spread`` per source, are summed up in one group.
+id and text, so neither a source nor an id that very many rows share is in one task.
+The number of blocks of a class grows with the square root of the rows: so do then
+both the rows of a block and the block counts of a source, which are summed up in
+one group. Rows are counted when the function is called.
 
 The table of sources (names and weights of a mix) is ordered as one group.
 
 Null text has size 0; a source of size 0 has target 0 and takes nothing. A null
 source is a source of its own, last in order. Repeated rows (also of one id) are
-separate documents; ties in size go by hash of id, then id. An empty table gives
+separate documents; ties in size go by hash of id and text, then id. An empty table gives
 an empty result. Further columns do not matter; with ``copies`` they are kept.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom.llm.words import WORD
 
 MOST = 3
-SPREAD = 16
+# Blocks of a size class: as many at least, and one for so many of the root of the rows.
+LEAST_SPREAD = 16
+ROOT_A_BLOCK = 20
 SEED = "mix"
 
 
@@ -96,25 +102,36 @@ def _unit(*parts) -> F.Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+def spread_of(rows: int) -> int:
+    """Blocks of a size class for a table of so many rows."""
+    return max(LEAST_SPREAD, math.ceil(math.sqrt(rows) / ROOT_A_BLOCK))
+
+
+def _row_hash(key: str, text: str) -> F.Column:
+    """Hex digits that tell rows apart by key and text, also where the key is null."""
+    return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.md5(F.col(text))))
+
+
 def sampled(
     docs: DataFrame,
     most: int = MOST,
-    spread: int = SPREAD,
+    spread: int | None = None,
     seed: str = SEED,
     weights: DataFrame | None = None,
     key: str = "doc_id",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Key, source, size, source_size, target and copies of every document."""
+    spread = spread or spread_of(docs.count())
     sized = docs.select(
         F.col(key).alias("key"),
         F.col("source"),
         word_count().alias("size"),
+        _row_hash(key, "text").alias("digest"),
         *(F.col(name).alias(f"_kept_{i}") for i, name in enumerate(keep)),
     )
     targets = source_targets(sized.select("source", "size"), most, weights)
-    digest = F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")))
-    salt = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % spread
+    salt = F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint") % spread
     # size class: the number of binary digits and the four digits after the first
     digits = F.length(F.bin(F.col("size") + 1))
     leading = F.expr("shiftright((size + 1) * 16, length(bin(size + 1)) - 1)")
@@ -132,7 +149,7 @@ def sampled(
     facts = counts.alias("c").join(
         targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source"))
     ).select("c.source", "block", "before", "source_size", "target")
-    within = Window.partitionBy("source", "block").orderBy("size", "key")
+    within = Window.partitionBy("source", "block").orderBy("size", "key", "digest")
     ranked = placed.withColumn("place", F.row_number().over(within))
     joined = ranked.alias("d").join(
         facts.alias("f"),

@@ -106,7 +106,10 @@ _WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 
 _MIXING = rf"""
 with d as (
-    select doc_id, source, len({_WORDS.format("text")})::bigint as size from documents),
+    select doc_id, source, len({_WORDS.format("text")})::bigint as size,
+           ('0x' || substr(md5(concat_ws('|', doc_id::varchar, md5(text))), 1, 8))::bigint as salt
+    from documents),
+b as (select greatest(16, ceil(sqrt(count(*)) / 20))::bigint as spread from documents),
 s as (
     select source, sum(size)::bigint as source_size,
            (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
@@ -131,9 +134,9 @@ p as (
     select *, row_number() over (
         partition by source
         order by (length(bin(size + 1)) * 16 + ((size + 1) * 16 >> (length(bin(size + 1)) - 1)))
-                 * 16 + ('0x' || substr(md5(doc_id::varchar), 1, 4))::bigint % 16,
+                 * spread + salt % spread,
                  size, doc_id) as place
-    from d),
+    from d, b),
 q as (
     select doc_id, size, source_size, target, place,
            case when source_size > 0 then target / source_size else 0 end as rate,

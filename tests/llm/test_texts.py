@@ -202,6 +202,25 @@ def test_mix_edge_cases(edge_docs, no_docs):
     assert sorted(map(str, rows)) == sorted(map(str, _mixed(edge_docs.repartition(7))))
 
 
+def test_rows_without_an_id_are_spread_over_blocks(spark):
+    """A third of the rows have no id and all are of one size: the blocks stay small."""
+    rows = [(i if i % 3 else None, "s", f"one w{i}") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    salted = docs.select(mixing._row_hash("doc_id", "text").alias("h"))
+    salt = F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint") % mixing.spread_of(len(rows))
+    sizes = [r["count"] for r in salted.groupBy(salt).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * len(rows) / 16
+    drawn = _mixed(docs)
+    assert len(drawn) == len(rows) and all(r["copies"] == 1 for r in drawn)
+    assert sorted(map(str, drawn)) == sorted(map(str, _mixed(docs.repartition(5))))
+
+
+def test_blocks_grow_with_the_root_of_the_rows(edge_docs):
+    assert [mixing.spread_of(n) for n in (0, 10_000, 10**6, 10**10)] == [16, 16, 50, 5_000]
+    few, many = (mixing.sampled(edge_docs, spread=n) for n in (1, 1_000))
+    assert few.count() == many.count() == edge_docs.count()
+
+
 def test_shards(edge_docs, no_docs, store):
     keep = lambda df: store(df, "slot-map")
     rows = sharding.shard(edge_docs, keep, 3).collect()
