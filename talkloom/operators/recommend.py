@@ -14,8 +14,12 @@ reader could be one of them.
    with the rest of its tags after them. Talks with equal rest are
    interchangeable there but for their id, so one group keeps ``k + 1`` of them.
    Up to ``CROWD`` groups are compared with each other. A more crowded pair
-   gives the ``k + 1`` smallest ids that hold it, and its talks go on to triples
-   and larger subsets by one of the rest each, until few groups are left.
+   gives the ``k + 1`` smallest ids that hold it, counted by their rests, and
+   its talks go on to triples and larger subsets by one of the rest each, until
+   few groups are left or none can matter: a partner found at a subset or
+   beyond shares no more tags than the subset and the rest hold, so a talk that
+   knows ``k`` partners with more stops there (ties go on). A talk that stopped
+   still takes part where another talk may need it.
    A partner sharing exactly the tags C is found at the first subset along C
    that few groups hold, with its exact count, or else at C itself, where it is
    among the smallest ids or beaten by ``k`` of them. No count is too high, so
@@ -201,35 +205,50 @@ def _tag_sets(shared: DataFrame, narrow: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _reach() -> Column:
+    """The most tags a talk can share with a partner found at a subset or beyond."""
+    return F.size("subset") + F.size("rest")
+
+
 def _longer(rows: DataFrame) -> DataFrame:
     """Each row's ``subset`` with one more tag of its ``rest``, and the rest after that."""
-    grown = rows.select("video_id", "subset", "rest", F.posexplode("rest").alias("i", "tag"))
+    grown = rows.select("video_id", "least", "subset", "rest", F.posexplode("rest").alias("i", "tag"))
     return grown.select(
         "video_id",
+        "least",
         F.array_append("subset", F.col("tag")).alias("subset"),
         F.slice("rest", F.col("i") + 2, F.size("rest")).alias("rest"),
     )
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Stored rows whose subset is held by two talks or more.
+    """Stored rows whose subset is held by two talks or more and can still improve a list.
 
-    The hash just thins rows out: a false match keeps a row that finds no partner.
+    ``least`` is what a partner must share to enter the talk's own list; a row stays where
+    it reaches the least that any talk with this subset needs. The hash just thins rows out:
+    a false match keeps a row that finds no partner.
     """
-    rows = rows.withColumn("h", F.xxhash64("subset"))
-    twice = rows.groupBy("h").agg(F.count("*").alias("talks")).where(F.col("talks") > 1)
-    return keep(rows.join(twice, "h", "left_semi").drop("h"), "subset-rows")
+    rows = rows.withColumns({"h": F.xxhash64("subset"), "reach": _reach()})
+    needed = F.min(F.when(F.col("reach") >= F.col("least"), F.col("least")))
+    wanted = rows.groupBy("h").agg(F.count("*").alias("talks"), needed.alias("needed"))
+    wanted = wanted.where((F.col("talks") > 1) & F.col("needed").isNotNull()).drop("talks")
+    met = rows.join(wanted, "h").where(F.col("reach") >= F.col("needed"))
+    return keep(met.drop("h", "reach", "needed"), "subset-rows")
 
 
 def _two_tag_partners(sets: DataFrame, n: int) -> DataFrame:
-    """Partners of narrow talks that share two tags or more.
+    """The ``n - 1`` best partners of narrow talks that share two tags or more.
 
-    One round for each length of subset; rounds end where no subset is crowded.
+    One round for each length of subset; rounds end where no subset is crowded or none
+    can hold a partner that enters a list.
     """
     none = F.array().cast("array<string>").alias("subset")
-    rows = _met(_longer(_longer(sets.select("video_id", none, F.col("tagset").alias("rest")))))
-    found, length = None, 2
-    while found is None or not rows.isEmpty():
+    least = F.lit(0).cast("bigint").alias("least")
+    rows = _met(
+        _longer(_longer(sets.select("video_id", least, none, F.col("tagset").alias("rest"))))
+    )
+    best, length = None, 2
+    while best is None or not rows.isEmpty():
         groups = (
             _smallest(rows, ["subset", "rest"], [F.asc("video_id")], n)
             .groupBy("subset", "rest")
@@ -241,31 +260,50 @@ def _two_tag_partners(sets: DataFrame, n: int) -> DataFrame:
             .where(F.col("talks") > 1)
         )
         groups = keep(groups.join(held.drop("talks"), "subset"), "subset-groups")
-        direct = _met_directly(rows, groups.where(F.col("groups") <= CROWD), n)
-        found = direct if found is None else found.unionByName(direct)
+        seeking = rows.where(_reach() >= F.col("least"))
+        found = _met_directly(seeking, groups.where(F.col("groups") <= CROWD), n)
 
-        crowded = groups.where(F.col("groups") > CROWD)
+        members = groups.where(F.col("groups") > CROWD).select(
+            "subset", F.explode("ids").alias("id"), F.col("rest").alias("rest")
+        )
         heads = (
-            _smallest(
-                crowded.select("subset", F.explode("ids").alias("id")), ["subset"], [F.asc("id")], n
-            )
+            _smallest(members, ["subset"], [F.asc("id")], n)
             .groupBy("subset")
-            .agg(F.collect_list("id").alias("head"))
+            .agg(F.collect_list(F.struct("id", "rest")).alias("head"))
         )
-        rows = rows.join(heads, "subset")
-        # All share ``length`` tags at the least, so a talk needs the smallest ids only.
-        ids = F.sort_array(F.array_distinct(F.flatten(F.collect_list("head"))))
-        first = rows.groupBy("video_id").agg(F.slice(ids, 1, n).alias("ids"))
-        found = found.unionByName(
-            first.select(
-                "video_id",
-                F.explode("ids").alias("candidate"),
-                F.lit(length).cast("bigint").alias("shared"),
-            )
+        found = found.unionByName(_head_partners(seeking.join(heads, "subset"), length))
+        best = _best_so_far(found if best is None else found.unionByName(best), n - 1)
+
+        known = best.groupBy("video_id").agg(F.count("*").alias("n"), F.min("shared").alias("least"))
+        known = known.where(F.col("n") >= n - 1).drop("n")
+        rows = (
+            rows.drop("least")
+            .join(heads.select("subset"), "subset", "left_semi")
+            .join(known, "video_id", "left")
+            .withColumn("least", F.coalesce("least", F.lit(0)))
         )
         rows = _met(_longer(rows))
         length += 1
-    return found
+    return best
+
+
+def _best_so_far(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best partners known of each talk, stored."""
+    others = found.where(F.col("video_id") != F.col("candidate"))
+    counted = others.groupBy("video_id", "candidate").agg(F.max("shared").alias("shared"))
+    return keep(_best(counted, ["video_id"], k), "best-partners")
+
+
+def _head_partners(rows: DataFrame, length: int) -> DataFrame:
+    """The smallest ids at a crowded subset, with the tags shared along it."""
+    shared = F.transform(
+        "head",
+        lambda e: F.struct(
+            e["id"].alias("candidate"),
+            (F.size(F.array_intersect("rest", e["rest"])) + length).cast("bigint").alias("shared"),
+        ),
+    )
+    return rows.select("video_id", F.inline(shared))
 
 
 def _met_directly(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
