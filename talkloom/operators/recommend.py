@@ -27,9 +27,9 @@ reader could be one of them.
 3. *Wide talks*: talks with more than ``max_width`` tags would give too many
    pairs; equal tag sets are merged and counted directly against the others.
 
-Tags with a single use join nothing and are left out of all three. The tag
-table, the tag sets and the rows that meet at a pair are read several times, so
-they are written to the scratch folder first: these functions run Spark jobs.
+Tags with a single use join nothing and are left out of all three. Links are
+counted from the tag sets of their two talks. The tag table, the tag sets and the
+rows that meet at a pair are read several times, so they are written to the scratch folder first: these functions run Spark jobs.
 """
 
 from __future__ import annotations
@@ -74,12 +74,13 @@ def common_tag_pairs(
     ``tags`` holds distinct (video_id, tag) rows. Gives source_video_id,
     candidate_video_id, common_tag_count.
     """
-    return _partners(shared_tags(tags), k, max_width)
+    shared = shared_tags(tags)
+    return _partners(shared, _tag_sets(shared, k + 1), k, max_width)
 
 
-def _partners(shared: DataFrame, k: int, max_width: int) -> DataFrame:
+def _partners(shared: DataFrame, sets: DataFrame, k: int, max_width: int) -> DataFrame:
     return (
-        _best_lists(shared, None, k, 0, 1, max_width)
+        _best_lists(shared, sets, None, k, 0, 1, max_width)
         .select("video_id", F.inline("best"))
         .select(
             F.col("video_id").alias("source_video_id"),
@@ -91,6 +92,7 @@ def _partners(shared: DataFrame, k: int, max_width: int) -> DataFrame:
 
 def _best_lists(
     shared: DataFrame,
+    sets: DataFrame,
     linked: DataFrame | None,
     k: int,
     related_weight: float,
@@ -102,16 +104,11 @@ def _best_lists(
     ``linked`` holds links with their exact counts. Gives video_id and best,
     an array of (loss, candidate, is_related, shared); loss is minus the score.
     """
-    wide = _wide_talks(shared, max_width)
-    narrow, wide_partners = shared, None
+    width = F.size("tagset")
+    met = _two_tag_partners(sets.where(width <= max_width), k + 1)
+    wide = sets.where(width > max_width)
     if not wide.isEmpty():
-        narrow = shared.join(wide.select("video_id"), "video_id", "left_anti")
-        wide_partners = _wide_partners(shared, wide, k + 1)
-    sets = _tag_sets(shared, narrow, k + 1)
-
-    met = _two_tag_partners(sets, k + 1)
-    if wide_partners is not None:
-        met = met.unionByName(wide_partners)
+        met = met.unionByName(_wide_partners(shared, wide.select("video_id", "tagset"), k + 1))
     loss = (-(F.col("is_related") * related_weight + F.col("shared") * tag_weight)).cast("double")
     best_first = [F.asc("loss"), F.asc("candidate")]
     found = met.where(F.col("video_id") != F.col("candidate")).withColumn("is_related", F.lit(0))
@@ -171,25 +168,8 @@ def _best_lists(
     return merged.select("video_id", best.alias("best"))
 
 
-def _wide_talks(shared: DataFrame, max_width: int) -> DataFrame:
-    """Talks with more than ``max_width`` tags and a mark of their tag set.
-
-    Equal tag sets have equal width and equal 128-bit fingerprint.
-    """
-    return keep(
-        shared.groupBy("video_id")
-        .agg(
-            F.count("*").alias("width"),
-            F.bit_xor(F.xxhash64("tag")).alias("mark_1"),
-            F.bit_xor(F.xxhash64(F.lit("second"), "tag")).alias("mark_2"),
-        )
-        .where(F.col("width") > max_width),
-        "wide-talks",
-    )
-
-
-def _tag_sets(shared: DataFrame, narrow: DataFrame, n: int) -> DataFrame:
-    """Per narrow talk its tags, rare first, and the ``n`` smallest ids of their heads."""
+def _tag_sets(shared: DataFrame, n: int) -> DataFrame:
+    """Per talk its tags, rare first, and the ``n`` smallest ids of their heads."""
     heads = (
         _smallest(shared, ["tag"], [F.asc("video_id")], n)
         .groupBy("tag")
@@ -198,7 +178,7 @@ def _tag_sets(shared: DataFrame, narrow: DataFrame, n: int) -> DataFrame:
     rare_first = F.sort_array(F.collect_list(F.struct("uses", "tag")))
     head = F.sort_array(F.array_distinct(F.flatten(F.collect_list("head"))))
     return keep(
-        narrow.join(heads, "tag")
+        shared.join(heads, "tag")
         .groupBy("video_id")
         .agg(rare_first["tag"].alias("tagset"), F.slice(head, 1, n).alias("head")),
         "tag-sets",
@@ -232,6 +212,8 @@ def _met(rows: DataFrame) -> DataFrame:
     needed = F.min(F.when(F.col("reach") >= F.col("least"), F.col("least")))
     wanted = rows.groupBy("h").agg(F.count("*").alias("talks"), needed.alias("needed"))
     wanted = wanted.where((F.col("talks") > 1) & F.col("needed").isNotNull()).drop("talks")
+    # stored, so that Spark knows its size: where few subsets are wanted no row is shuffled
+    wanted = keep(wanted, "wanted-subsets")
     met = rows.join(wanted, "h").where(F.col("reach") >= F.col("needed"))
     return keep(met.drop("h", "reach", "needed"), "subset-rows")
 
@@ -320,14 +302,13 @@ def _met_directly(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
 
 def _wide_partners(shared: DataFrame, wide: DataFrame, n: int) -> DataFrame:
     """Partners of the wide talks, and wide talks as partners of the narrow ones."""
-    same = ["width", "mark_1", "mark_2"]
     copies = (
-        _smallest(wide, same, [F.asc("video_id")], n)
-        .groupBy(*same)
+        _smallest(wide, ["tagset"], [F.asc("video_id")], n)
+        .groupBy("tagset")
         .agg(F.sort_array(F.collect_list("video_id")).alias("ids"))
         .withColumn("lead", F.col("ids")[0])
     )
-    members = wide.join(copies, same).select("video_id", "lead")
+    members = wide.join(copies, "tagset").select("video_id", "lead")
     leads = copies.select(F.col("lead").alias("video_id"), "ids")
 
     # The smallest talk of each set is counted against every talk, and then
@@ -389,6 +370,22 @@ def _linked(related: DataFrame, tags: DataFrame) -> DataFrame:
     )
 
 
+def _links_of_sets(related: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct links with the same counts from stored tag sets: a row a link, not one a tag of it."""
+    links = related.select("source_video_id", F.col("related_video_id").alias("candidate_video_id"))
+    for key, name in (("source_video_id", "own"), ("candidate_video_id", "other")):
+        side = sets.select(F.col("video_id").alias(key), F.col("tagset").alias(name))
+        links = links.join(side, key, "left")
+    same = F.size(F.array_intersect("own", "other"))
+    counts = F.col("own").isNotNull() & F.col("other").isNotNull()
+    counts &= F.col("source_video_id") != F.col("candidate_video_id")
+    return links.select(
+        "source_video_id",
+        "candidate_video_id",
+        F.when(counts, same).otherwise(0).cast("bigint").alias("common_tag_count"),
+    )
+
+
 def candidates(
     related: DataFrame, tags: DataFrame, k: int = MAX_RECOMMENDATIONS, max_width: int = MAX_WIDTH
 ) -> DataFrame:
@@ -398,8 +395,9 @@ def candidates(
     positive tag weight and non-negative link weight.
     """
     shared = shared_tags(tags)
-    linked = _linked(related, shared).withColumn("is_related", F.lit(1))
-    partners = _partners(shared, k, max_width).withColumn("is_related", F.lit(0))
+    sets = _tag_sets(shared, k + 1)
+    linked = _links_of_sets(related, sets).withColumn("is_related", F.lit(1))
+    partners = _partners(shared, sets, k, max_width).withColumn("is_related", F.lit(0))
     return (
         linked.unionByName(partners)
         .groupBy("source_video_id", "candidate_video_id")
@@ -471,8 +469,9 @@ def watch_next(
     """
     _check_weights(related_weight, tag_weight)
     shared = shared_tags(tags)
-    linked = _linked(related, shared)
-    lists = _best_lists(shared, linked, k, related_weight, tag_weight, max_width)
+    sets = _tag_sets(shared, k + 1)
+    linked = _links_of_sets(related, sets)
+    lists = _best_lists(shared, sets, linked, k, related_weight, tag_weight, max_width)
     return lists.select(
         F.col("video_id").alias("_id"),
         F.transform(
