@@ -13,9 +13,10 @@ stretch of text that the windows of one anchor span is its *context*.
 3. For anchors with several classes, the first context of each class is read and
    handed to ``resolve``, which finds the windows that occur in an earlier class.
 
-Counts and classes are aggregated map-side, and members meet their class in a join
-that Spark splits when skewed, so a passage found in a third of all documents is no
-hot spot. Anchors with more than ``MOST_CLASSES`` classes have every window
+Counts and classes are aggregated map-side. The classes that hold more than one in
+``HOT_CLASSES`` of all members are therefore fewer than ``HOT_CLASSES``; they are
+broadcast, and their members meet them without a shuffle, so a passage found in a third
+of all documents is no hot spot. The members of the other classes are shuffled. Anchors with more than ``MOST_CLASSES`` classes have every window
 counted by itself in the same way, instead of in one task.
 
 Contexts are compared by two 64-bit hashes (anchor and content).
@@ -36,6 +37,7 @@ from talkloom.llm.slots import among, bitmap
 from talkloom.llm.words import Slice, SpanHash, mix, slices, version, words
 
 MOST_CLASSES = 2_000
+HOT_CLASSES = 1_024
 _PLACE_BITS = np.uint64(28)
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -295,7 +297,7 @@ def repeated_windows(
     shared = _anchor_rows(docs, scheme, False).join(common, "anchor", "left_semi")
     shared = store(shared, "shared-anchors")
     classes = shared.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc", "place", "version")).alias("head")
+        F.min(F.struct("doc", "place", "version")).alias("head"), F.count("*").alias("members")
     )
     classes = store(classes, "context-classes")
     several = classes.groupBy("anchor").agg(F.count("*").alias("classes")).where("classes > 1")
@@ -311,12 +313,18 @@ def repeated_windows(
 
     order = ["doc", "place", "version"] if scheme.same_document else ["doc"]
     later = F.struct(*order) > F.struct(*[F.col(f"head.{c}").alias(c) for c in order])
-    members = (
-        shared.join(classes, ["anchor", "content"])
-        .withColumn("later", later)
-        .join(found, ["anchor", "content"], "left")
-        .where(F.col("later") | F.col("windows").isNotNull())
+    # what a class says of its members: its first place and at most ``window`` short numbers;
+    # a class of one member without a window in an earlier class says nothing
+    key = ["anchor", "content"]
+    says = classes.join(found, key, "left").where((F.col("members") > 1) | F.col("windows").isNotNull())
+    says = store(says, "class-answers")
+    total = classes.agg(F.sum("members")).first()[0] or 0
+    hot = F.col("members") > total / HOT_CLASSES
+    few = F.broadcast(says.where(hot))  # below HOT_CLASSES rows
+    met = shared.join(few, key).unionByName(
+        shared.join(F.broadcast(says.where(hot).select(*key)), key, "left_anti").join(says.where(~hot), key)
     )
+    members = met.withColumn("later", later).where(F.col("later") | F.col("windows").isNotNull())
     start = F.shiftright("place", 16)
     count = F.shiftright("place", 8).bitwiseAND(F.lit(255))
     window = F.lit(scheme.window)

@@ -146,6 +146,22 @@ def test_crowded_anchors_count_every_window(spark, store, monkeypatch):
     assert _words(docs, store) == brute_force.repeated_words(rows)
 
 
+def test_a_passage_in_a_third_of_all_documents(spark, store, monkeypatch):
+    """The hot class is broadcast, shuffled, or one of both kinds: the result is the same."""
+    rng = random.Random(5)
+    passage = " ".join(f"shared{i}" for i in range(30))
+    rows = []
+    for i in range(90):
+        own = " ".join(f"v{rng.randrange(200)}" for _ in range(40))
+        rows.append((i, f"{own} {passage}" if i % 3 == 0 else own if i % 7 else f"{rows[-1][1]} end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (1, 8, 1_024):
+        monkeypatch.setattr(anchors, "HOT_CLASSES", most)
+        assert _words(docs, store) == brute_force.repeated_words(rows)
+    monkeypatch.setattr(anchors, "HOT_CLASSES", 8)
+    assert _bytes(docs, store) == brute_force.repeated_bytes(rows)
+
+
 def test_star_of_near_copies(spark, store):
     """Copies that are similar to their original, and too different from each other."""
     rng = random.Random(5)
