@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 _SETTING = "spark.checkpoint.dir"
 _default: str | None = None
