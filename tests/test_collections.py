@@ -121,6 +121,28 @@ def test_stored_lists_are_not_shuffled(spark, tmp_path):
     assert "Exchange hashpartitioning(talk_id" in plan and "Exchange hashpartitioning(rec" in plan
 
 
+def test_stored_lists_stay_in_fewer_buckets_than_the_session_shuffles_to(spark, tmp_path):
+    profiles = _profiles(spark, 2_000)
+    entry = "array(named_struct('video_id', format_string('%07d', id + 1), 'score', 3D, 'reasons', array('x')))"
+    lists = spark.range(2_000).selectExpr("format_string('%07d', id) as _id", f"{entry} as recommendations")
+    videos = write_bucketed(profiles, f"{tmp_path}/v", "few_videos", "video_id", 2)
+    lists = write_bucketed(lists, f"{tmp_path}/l", "few_lists", "_id", 2)
+    requests = spark.range(100).selectExpr("format_string('%07d', id * 3) as talk_id")
+    found = lookup.get_watch_next(requests, lists, videos, buckets=2)
+    assert {r["video_id"] for r in found.collect()} == {f"{3 * i + 1:07d}" for i in range(100)}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[1]
+    assert plan.count("Bucketed: true") == 2 and plan.count("Exchange") == 2
+    titles = lookup.resolve_watch_next(requests, lists, videos.select("video_id", "title"), buckets=2)
+    assert titles.selectExpr("inline(recommendations)").where("video.title is not null").count() == 100
+
+
+def test_buckets_grow_with_the_talks(spark, tmp_path):
+    entry = pytest.importorskip("__spark_entry__")
+    for rows, buckets in ((10, entry.BUCKETS), (20 * entry.TALKS_A_BUCKET + 1, 21)):
+        spark.range(rows).write.parquet(f"{tmp_path}/{rows}/orders.parquet")
+        assert entry._buckets(spark, f"{tmp_path}/{rows}") == buckets
+
+
 def test_search_talks(spark):
     talks = spark.createDataFrame(
         [("1", "Big cats", "A", "u", "About cats", "60", "2001-05-01"), ("2", "Dogs", "B", "u", "CATS too", "90", "2002"),
