@@ -1,7 +1,7 @@
 """Quality classifier with hierarchical empirical Bayes.
 
-A logistic regression on rule statistics, fitted on a bounded sample of labelled
-documents, gives each document's evidence. Its mean over a host is shrunk toward
+A logistic regression on rule statistics, fitted on every labelled document by sums
+that tasks make, gives each document's evidence. Its mean over a host is shrunk toward
 the mean of all documents, and its mean over a path of the host toward the host's
 posterior; how far is estimated from the spread between groups, so sparse sites
 get little say. A document's log odds are its own evidence plus the difference
@@ -28,18 +28,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.arrow import map_partitions
-from talkloom.llm.rules import STATISTICS, batch_statistics, features, labelled_sample, text_statistics
-from talkloom.sources.scratch import with_small_batches
+from talkloom.llm.arrow import map_batches, map_partitions
+from talkloom.llm.rules import (
+    FEATURES,
+    batch_statistics,
+    features,
+    labelled_features,
+    least_kept,
+    matrix,
+)
 
-SAMPLE_ROWS = 20_000
 MOST_STRENGTH = 10_000.0
 LOST_GOOD = 0.003
 
 
 @dataclass
 class Classifier:
-    """Standardised features, weights and the sample's prior log odds."""
+    """Standardised features, weights and the labels' prior log odds."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -55,26 +60,48 @@ class Classifier:
         return np.clip(self.inputs(x) @ self.weight, -12, 12)
 
 
-def fit_classifier(x: np.ndarray, good: np.ndarray, steps: int = 30) -> Classifier:
-    """Ridge logistic regression by Newton's method."""
-    n, width = x.shape
-    mean = x.mean(0) if n else np.zeros(width)
-    scale = np.maximum(x.std(0), 1e-3) if n else np.ones(width)
-    rate = (good.sum() + 0.5) / (n + 1)
+def _slope_and_curve(rows: DataFrame, model: Classifier) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the loss over all rows, summed in tasks and then by Spark."""
+    width = len(model.weight)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width + 1))
+        for batch in batches:
+            z = model.inputs(matrix(batch))
+            p = 1 / (1 + np.exp(-np.clip(z @ model.weight, -30, 30)))
+            good = batch.column("good").to_numpy(zero_copy_only=False)
+            total[:, 0] += z.T @ (p - good)
+            total[:, 1:] += (z * (p * (1 - p))[:, None]).T @ z
+        at = pa.array(np.arange(total.size, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([at, pa.array(total.ravel())], ["at", "part"])
+
+    sums = map_partitions(rows, run, "at int, part double").groupBy("at").agg(F.sum("part"))
+    found = np.array([part for _, part in sorted(sums.collect())]).reshape(width, width + 1)
+    return found[:, 0], found[:, 1:]
+
+
+def fit_classifier(rows: DataFrame, steps: int = 30) -> Classifier:
+    """Ridge logistic regression by Newton's method; ``rows`` has good and the features."""
+    of_each = [f(name) for f in (F.avg, F.stddev_pop) for name in FEATURES]
+    n, n_good, *of_each = rows.agg(F.count("*"), F.count_if("good"), *of_each).first()
+    width = len(FEATURES)
+    mean = np.array(of_each[:width]) if n else np.zeros(width)
+    scale = np.maximum(of_each[width:], 1e-3) if n else np.ones(width)
+    rate = (n_good + 0.5) / (n + 1)
     model = Classifier(mean, scale, np.zeros(2 * width + 1), float(np.log(rate / (1 - rate))))
-    if n == 0 or good.all() or not good.any():
+    if n_good in (0, n):
         model.weight[0] = model.prior
         return model
-    z = model.inputs(x)
     ridge = np.diag([1e-6] + [1.0] * (2 * width))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ model.weight, -30, 30)))
-        slope = z.T @ (p - good) + ridge @ model.weight
-        curve = (z * (p * (1 - p))[:, None]).T @ z + ridge + 1e-6 * np.eye(z.shape[1])
-        step = np.linalg.solve(curve, slope)
+        slope, curve = _slope_and_curve(rows, model)
+        slope = slope + ridge @ model.weight
+        step = np.linalg.solve(curve + ridge + 1e-6 * np.eye(len(slope)), slope)
         model.weight = model.weight - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
+    # sums depend on the order of tasks in their last digits
+    model.weight = np.round(model.weight, 9)
     return model
 
 
@@ -168,14 +195,8 @@ def fit_sites(
     path: str = "lang",
 ) -> Sites:
     """Fit classifier and site posteriors; ``store`` writes the sums of each site and the posteriors."""
-    sample = labelled_sample(docs, labels, label, key, SAMPLE_ROWS)
-    table = text_statistics(sample.select(key, "text"), key)
-    with with_small_batches(docs.sparkSession):
-        rows = table.join(sample.select(key, "label"), key).drop_duplicates([key]).toPandas()
-    rows = rows.sort_values(key, kind="stable")
-    x = features(rows[[*STATISTICS, "n_lines", "n_upper"]].to_numpy(np.int64).reshape(-1, 7))
-    good = rows["label"].to_numpy(int) == 1
-    model = fit_classifier(x, good)
+    known = labelled_features(docs, labels, label, key)
+    model = fit_classifier(known)
     scored = _with_evidence(docs.select(key, host, path, "text"), model).select(
         F.col(f"row.{host}").alias("host"),
         F.col(f"row.{path}").alias("path"),
@@ -183,25 +204,25 @@ def fit_sites(
     )
     paths = scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("good"))
     sites = store(site_posteriors(store(paths)))
-    if good.all() or not good.any():
+    n, n_good = known.agg(F.count("*"), F.count_if("good")).first()
+    if n_good in (0, n):
         return Sites(model, sites, float("-inf"))
-    # the threshold: of the sample's scores with their sites
-    places = sample.select(F.col(key).alias("k")).join(
-        docs.select(F.col(key).alias("k"), F.col(host).alias("h"), F.col(path).alias("p")), "k"
-    )
-    known = places.drop_duplicates(["k"]).join(
-        docs.sparkSession.createDataFrame(
-            [(int(k), float(e)) for k, e in zip(rows[key], model.evidence(x))],
-            "k bigint, evidence double",
-        ),
-        "k",
+    # the threshold: of the scores of all labelled documents with their sites
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = pa.array(model.evidence(matrix(batch)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("good"), found], ["k", "good", "evidence"]
+        )
+
+    kind = dict(known.dtypes)["key"]
+    rows = map_batches(known, run, f"k {kind}, good boolean, evidence double")
+    places = docs.groupBy(F.col(key).alias("k")).agg(
+        F.min(F.struct(F.col(host).alias("h"), F.col(path).alias("p"))).alias("place")
     )
-    found = _scores(known, sites, F.col("h"), F.col("p")).select("k", "score").toPandas()
-    score = found.sort_values("k", kind="stable")["score"].to_numpy()
-    limit = float(np.quantile(score[good], LOST_GOOD))
-    below = score[~good & (score < limit)]
-    least = min(limit, float(np.nextafter(below.max(), np.inf))) if len(below) else float("-inf")
-    return Sites(model, sites, least)
+    placed = rows.join(places, "k").select("k", "good", "evidence", "place.*")
+    scored = store(_scores(placed, sites, F.col("h"), F.col("p")).select("good", "score"))
+    return Sites(model, sites, least_kept(scored, "score", LOST_GOOD, n_good))
 
 
 def classify(

@@ -1,9 +1,10 @@
 """Rule statistics of whole texts, and an isolation forest on them.
 
-The forest is grown on a bounded sample of labelled rows: every tree splits a
-random subsample at random values of random features, and a text whose path to
-a leaf is short is unlike the rest. The threshold on the mean path is calibrated
-on the sample's labels; which side of a feature is good is never assumed.
+Every tree of the forest splits a random subsample of the rows labelled good, as the
+method has it, at random values of random features, and a text whose path to a leaf is
+short is unlike the rest. The subsamples are drawn from all rows labelled good, the ranges
+of the features and the threshold on the mean path come from every labelled row; which side
+of a feature is good is never assumed.
 
 Null or empty texts have all statistics 0 and fail the base rules. Repeated rows
 get equal results. Without labelled rows of both kinds the forest accepts every
@@ -22,11 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.llm.arrow import map_batches
+from talkloom.llm.quantiles import quantile
 from talkloom.llm.words import Slice, SpanHash, slices, words
+from talkloom.sources.scratch import keep
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SAMPLE_ROWS = 20_000
+FEATURES = ["words", "word_length", "symbols", "dup_lines", "repeats", "upper"]
 WINDOW = 5
+TREES = 128
+SUBSAMPLE = 256
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _BLANK_BYTES = [0x20, 0x09, 0x0B, 0x0C, 0x0D]
@@ -97,7 +102,7 @@ def base_failed(statistics: np.ndarray) -> np.ndarray:
 
 
 def features(statistics: np.ndarray) -> np.ndarray:
-    """Sizeless features of each text."""
+    """FEATURES of each text, sizeless."""
     n = np.maximum(statistics[:, 0], 1).astype(float)
     chars = np.maximum(statistics[:, 1], 1).astype(float)
     return np.stack(
@@ -175,26 +180,23 @@ def _grow(x: np.ndarray, rng: np.random.Generator, most_depth: int, low, high):
     return feature, value, left, right
 
 
-def fit_forest(
-    x: np.ndarray,
-    good: np.ndarray,
-    trees: int = 128,
-    subsample: int = 256,
+def grow_forest(
+    base: np.ndarray,
+    low: np.ndarray,
+    high: np.ndarray,
+    trees: int = TREES,
+    subsample: int = SUBSAMPLE,
     most_depth: int = 14,
-    lost_good: float = 0.004,
     seed: int = 7,
 ) -> Forest:
-    """Grow the forest on rows labelled good and set the threshold by both labels.
+    """Grow the forest on subsamples of ``base``; without a threshold it accepts every text.
 
-    Cuts are drawn from the range that all labelled rows span, so a region without
-    good rows is cut off early. Of the thresholds that reject at most ``lost_good`` of
-    the good rows, the lowest that rejects the most bad rows is taken.
+    Cuts are drawn from the range ``low`` to ``high`` that all labelled rows span, so a
+    region without good rows is cut off early.
     """
     rng = np.random.default_rng(seed)
-    base = x[good] if good.any() else x
     grown = []
     if len(base):
-        low, high = x.min(0), x.max(0)
         for _ in range(trees):
             rows = rng.choice(len(base), min(subsample, len(base)), replace=False)
             grown.append(_grow(base[rows], rng, most_depth, low, high))
@@ -206,14 +208,7 @@ def fit_forest(
             row[: len(tree[i])] = tree[i]
         return out
 
-    forest = Forest(packed(0, int), packed(1, float), packed(2, int), packed(3, int), -np.inf)
-    if good.any() and not good.all():
-        paths = forest.paths(x)
-        limit = np.quantile(paths[good], lost_good)
-        below = paths[~good & (paths < limit)]
-        if len(below):
-            forest.least_path = float(min(limit, np.nextafter(below.max(), np.inf)))
-    return forest
+    return Forest(packed(0, int), packed(1, float), packed(2, int), packed(3, int), -np.inf)
 
 
 def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,34 +226,83 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", rows: int = SAMPLE_ROWS
+def labelled_features(
+    docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id"
 ) -> DataFrame:
-    """At most ``rows`` labelled documents, chosen by a hash of the key.
+    """Every labelled document once, stored: the key, good, ``base_failed`` and the features.
 
-    Columns: the key, text, label. Rows with a null key or label take no part; the
-    smallest of several labels of one key counts.
+    Rows with a null key or label take no part; the smallest of several labels of one key
+    counts, and the smallest statistics of several texts. Statistics are small, so they
+    meet the labels instead of the texts.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
         .groupBy(key)
-        .agg(F.min(label).cast("int").alias("label"))
+        .agg((F.min(label).cast("int") == 1).alias("good"))
     )
-    chosen = known.orderBy(F.xxhash64(key), key).limit(rows)
-    return docs.select(key, "text").join(F.broadcast(chosen), key)
+    names = [*STATISTICS, "n_lines", "n_upper"]
+    found = text_statistics(docs.where(F.col(key).isNotNull()), key).join(known, key)
+    once = found.groupBy(key, "good").agg(F.min(F.struct(*names)).alias("found"))
+    kind = dict(docs.dtypes)[key]
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2, 9)]
+        table = np.stack(columns, axis=1)
+        arrays = [batch.column(0), batch.column(1), pa.array(base_failed(table))]
+        arrays += [pa.array(column) for column in features(table).T]
+        yield pa.RecordBatch.from_arrays(arrays, ["key", "good", "base_failed", *FEATURES])
+
+    schema = f"key {kind}, good boolean, base_failed boolean, "
+    schema += ", ".join(f"{name} double" for name in FEATURES)
+    return keep(map_batches(once.select(key, "good", "found.*"), run, schema), "labelled-features")
+
+
+def matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """The features of a batch, a row a document."""
+    return np.stack([batch.column(name).to_numpy(zero_copy_only=False) for name in FEATURES], axis=1)
 
 
 def fit_on_sample(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id"
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    key: str = "doc_id",
+    lost_good: float = 0.004,
 ) -> Forest:
-    """Fit the forest on a bounded sample of labelled documents (1 is good)."""
-    sample = labelled_sample(docs, labels, label, key)
-    table = text_statistics(sample.select(key, "text"), key)
-    rows = table.join(sample.select(key, "label"), key).drop_duplicates([key]).toPandas()
-    rows = rows.sort_values(key, kind="stable")
-    found = rows[[*STATISTICS, "n_lines", "n_upper"]].to_numpy(np.int64).reshape(-1, 7)
-    passed = ~base_failed(found)  # the rest is decided without the forest
-    return fit_forest(features(found)[passed], (rows["label"].to_numpy(int) == 1)[passed])
+    """Fit the forest on all labelled documents (1 is good).
+
+    A forest can use ``TREES * SUBSAMPLE`` rows at most; so many good rows, chosen by a hash
+    of the key, are dealt to the subsamples. Ranges and threshold are of every labelled row.
+    Of the thresholds that reject at most ``lost_good`` of the good rows, the lowest that
+    rejects the most bad rows is taken.
+    """
+    # the rest is decided without the forest
+    passed = labelled_features(docs, labels, label, key).where("not base_failed")
+    ends = [end(name) for end in (F.min, F.max) for name in FEATURES]
+    n, n_good, *ends = passed.agg(F.count("*"), F.count_if("good"), *ends).first()
+    if not n:
+        return grow_forest(np.zeros((0, len(FEATURES))), None, None)
+    low, high = np.array(ends).reshape(2, -1)
+    base = passed.where("good") if n_good else passed
+    base = base.orderBy(F.xxhash64("key"), "key").limit(TREES * SUBSAMPLE).toPandas()
+    forest = grow_forest(base.sort_values("key", kind="stable")[FEATURES].to_numpy(), low, high)
+    if 0 < n_good < n:
+        shared = docs.sparkSession.sparkContext.broadcast(forest)
+
+        def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            paths = pa.array(shared.value.paths(matrix(batch)))
+            yield pa.RecordBatch.from_arrays([batch.column("good"), paths], ["good", "path"])
+
+        paths = keep(map_batches(passed, run, "good boolean, path double"), "labelled-paths")
+        forest.least_path = least_kept(paths, "path", lost_good, n_good)
+    return forest
+
+
+def least_kept(rows: DataFrame, value: str, lost_good: float, n_good: int) -> float:
+    """The lowest threshold that rejects the most bad rows and at most ``lost_good`` of the good."""
+    limit = quantile(rows.where("good"), F.col(value), lost_good, n_good)
+    bad = rows.where(~F.col("good") & (F.col(value) < limit)).agg(F.max(value)).first()[0]
+    return -np.inf if bad is None else float(min(limit, np.nextafter(bad, np.inf)))
 
 
 def quality_rules(docs: DataFrame, forest: Forest, key: str = "doc_id") -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from talkloom.llm import html, mixing, quality, rules, sharding, tokenize
+from talkloom.llm import html, mixing, quality, quantiles, rules, sharding, tokenize
 
 SF = "/root/testdata/sf0.01"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -75,6 +75,28 @@ def test_quality_edge_cases(spark, edge_docs, no_docs, store):
     assert quality.classify(no_docs, quality.fit_sites(no_docs, some, keep)).count() == 0
 
 
+def test_models_and_thresholds_come_from_every_label(spark, store):
+    # few are bad; a hash of the key would leave most of them out of a bounded sample
+    docs = spark.range(40_000).selectExpr(
+        "id as doc_id", "'s' as source", "'en' as lang",
+        "concat_ws(' ', transform(sequence(1, 12), i -> concat('w', i + id % 50)),"
+        " if(id % 4000 = 7, repeat('# ', 60), '')) as text",
+    )
+    labels = docs.selectExpr("doc_id", "if(doc_id % 4000 = 7, 0, 1) as quality")
+    rows = rules.labelled_features(docs, labels, "quality")
+    assert rows.count() == 40_000 and rows.where("not good").count() == 10
+    model = quality.fit_sites(docs, labels, lambda df: store(df, "sites")).model
+    assert abs(model.prior - np.log(39_990.5 / 10.5)) < 1e-9
+
+
+def test_quantiles_are_exact(spark):
+    values = np.random.default_rng(3).normal(size=20_000).round(3)
+    values[:9_000] = values[0]
+    rows = spark.createDataFrame([(float(v),) for v in values], "x double")
+    for share in (0.0, 0.004, 0.37, 0.5, 1.0):
+        assert quantiles.quantile(rows, F.col("x"), share, 20_000) == float(np.quantile(values, share))
+
+
 def test_sparse_sites_stay_near_their_parents(spark):
     paths = spark.createDataFrame(
         [("h1", "a", 100_000, 90_000.0), ("h1", "b", 1, 0.0), ("h2", "a", 100_000, 10_000.0), (None, None, 2, 2.0)],
