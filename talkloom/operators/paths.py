@@ -157,6 +157,14 @@ def topic_paths(
     return path_members(rank_paths(members, "topic", min_talks, max_paths), members)
 
 
+def ranked_titles(ranked: DataFrame, sets: DataFrame) -> DataFrame:
+    """``sets`` with the titles of ranked paths only; talks that hold none are left out."""
+    # one row with at most max_paths titles
+    top = ranked.agg(F.collect_list("title").alias("top"))
+    held = F.array_intersect("titles", "top").alias("titles")
+    return sets.join(F.broadcast(top)).select("video_id", held).where(F.size("titles") > 0)
+
+
 def drop_near_duplicates(
     ranked: DataFrame, sets: DataFrame, threshold: float = NEAR_DUPLICATE
 ) -> DataFrame:
@@ -174,11 +182,13 @@ def drop_near_duplicates(
             F.collect_list(F.struct("title", F.struct("rank", "video_count")))
         ).alias("places")
     ).select(F.lit(1).alias("one"), "places")
-    place = F.transform("titles", lambda t: F.element_at("places", t))
+    # a map is searched key by key, so only the talk's ranked titles are looked up
+    held = F.array_intersect("titles", F.map_keys("places"))
+    place = F.transform(held, lambda t: F.element_at("places", t))
     masks = (
         sets.withColumn("one", F.lit(1))
         .join(F.broadcast(named), "one")
-        .select(F.array_sort(F.array_compact(place)).alias("paths"))
+        .select(F.sort_array(place).alias("paths"))
         .where(F.size("paths") > 1)
         .groupBy("paths")
         .agg(F.count("*").alias("talks"))
@@ -231,8 +241,10 @@ def distinct_topic_paths(
     members = sets.select("video_id", F.explode("titles").alias("title"))
     # the few ranked rows are read three times and counted once
     ranked = keep(rank_paths(members, "topic", min_talks, max_paths), "ranked-topics")
-    left = keep(drop_near_duplicates(ranked, sets, threshold), "distinct-topics")
-    return path_members(left, members)
+    # what each talk holds of them is found once, in one pass over all titles
+    held = keep(ranked_titles(ranked, sets), "ranked-titles")
+    left = keep(drop_near_duplicates(ranked, held, threshold), "distinct-topics")
+    return path_members(left, held.select("video_id", F.explode("titles").alias("title")))
 
 
 def build_paths(

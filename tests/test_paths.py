@@ -114,3 +114,18 @@ def test_near_duplicates_of_unique_profiles_need_no_shuffle_by_talk(profiles):
     left = paths.drop_near_duplicates(ranked, sets)
     plan = left._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" in plan and "hashpartitioning(video_id" not in plan
+
+
+def test_members_come_from_the_titles_that_are_ranked(spark):
+    profiles = spark.createDataFrame(
+        [(str(i), ["aa", f"own{i}"] + ["bb"] * (i % 2)) for i in range(8)],
+        "video_id string, tags array<string>",
+    )
+    sets = paths.topic_sets(profiles, unique=True)
+    ranked = paths.rank_paths(paths.topic_members(profiles, unique=True), "topic")
+    held = {r["video_id"]: sorted(r["titles"]) for r in paths.ranked_titles(ranked, sets).collect()}
+    assert held == {str(i): ["aa", "bb"] if i % 2 else ["aa"] for i in range(8)}
+    found = paths.distinct_topic_paths(profiles, unique=True)
+    assert found.count() == 12
+    # no further pass over all tags
+    assert "tags" not in found._jdf.queryExecution().executedPlan().toString()
