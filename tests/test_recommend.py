@@ -138,3 +138,27 @@ def test_linked_counts_are_exact(spark):
     counts = _expected_pairs(sets)
     got = {tuple(r) for r in recommend.related_tag_counts(related, tags).collect()}
     assert got == {(a, b, counts.get((a, b), 0)) for a, b in links}
+
+
+@pytest.mark.parametrize("spare", [0, 1])
+def test_ids_not_sent_with_a_tags_share_are_fetched(spark, monkeypatch, spare):
+    """Tag ``low`` alone holds the smallest ids, so talks of more tags lack some of its share."""
+    monkeypatch.setattr(recommend, "SPARE", spare)
+    sets = {f"a{i:02d}": {"low"} for i in range(8)} | {f"z{i:02d}": {"high"} for i in range(8)}
+    sets |= {"m1": {"low", "high", "other", "alone"}, "m2": {"low", "other"}, "m3": {"low", "high"}}
+    tags = spark.createDataFrame(
+        [(v, t) for v, ts in sets.items() for t in sorted(ts)], "video_id string, tag string"
+    )
+    k = 5
+    stored, heads = recommend._tag_sets(tags, k + 1)
+    lists = {r["video_id"]: r for r in stored.collect()}
+    assert "low" in [e["tag"] for e in lists["m1"]["lacking"]]
+    assert not lists["a00"]["lacking"]
+    whole = {r["video_id"]: r["head"] for r in recommend._whole_heads(stored, heads, k + 1).collect()}
+    assert whole["m1"] == ["a00", "a01", "a02", "a03", "a04", "a05"]
+
+    best = {}
+    for (a, b), n in _expected_pairs(sets).items():
+        best.setdefault(a, []).append((-n, b))
+    want = {(a, b, -n) for a, xs in best.items() for n, b in sorted(xs)[:k]}
+    assert {tuple(r) for r in recommend.common_tag_pairs(tags, k).collect()} == want
