@@ -1,6 +1,7 @@
 """Recommender against hand-derived lists and against brute force."""
 
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -162,3 +163,24 @@ def test_ids_not_sent_with_a_tags_share_are_fetched(spark, monkeypatch, spare):
         best.setdefault(a, []).append((-n, b))
     want = {(a, b, -n) for a, xs in best.items() for n, b in sorted(xs)[:k]}
     assert {tuple(r) for r in recommend.common_tag_pairs(tags, k).collect()} == want
+
+
+def test_partners_are_not_shuffled_by_pair(spark):
+    """Links known among the partners need no shuffle of all pairs; repeated links stay one row."""
+    sets, links = _catalogue(7)
+    tags = spark.createDataFrame(
+        [(v, t) for v, ts in sets.items() for t in sorted(ts)], "video_id string, tag string"
+    )
+    related = spark.createDataFrame(
+        sorted(links) * 2, "source_video_id string, related_video_id string"
+    )
+    pairs = recommend.candidates(related, tags, 4)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(source_video_id#\d+L?, candidate_video_id", plan)
+    rows = pairs.collect()
+    counts = _expected_pairs(sets)
+    assert len({(r[0], r[1]) for r in rows}) == len(rows)
+    assert {(r[0], r[1], r[3]) for r in rows if r["is_related"]} == {
+        (a, b, counts.get((a, b), 0)) for a, b in links
+    }
+    assert all(r[3] == counts[r[0], r[1]] and (r[0], r[1]) not in links for r in rows if not r["is_related"])
