@@ -184,3 +184,26 @@ def test_partners_are_not_shuffled_by_pair(spark):
         (a, b, counts.get((a, b), 0)) for a, b in links
     }
     assert all(r[3] == counts[r[0], r[1]] and (r[0], r[1]) not in links for r in rows if not r["is_related"])
+
+
+@pytest.mark.parametrize("seed, max_width, block", [(1, 32, 256), (2, 7, 5), (3, 2, 16)])
+def test_candidates_hold_every_partner(spark, monkeypatch, seed, max_width, block):
+    """Talks have far more than ten partners, and links to partners, strangers and themselves."""
+    monkeypatch.setattr(recommend, "BLOCK", block)
+    sets, links = _catalogue(seed)
+    links |= {("1", "1"), ("gone", "0")}
+    tags = spark.createDataFrame(
+        [(v, t) for v, ts in sets.items() for t in sorted(ts)], "video_id string, tag string"
+    )
+    related = spark.createDataFrame(
+        sorted(links) * 2, "source_video_id string, related_video_id string"
+    )
+    counts = _expected_pairs(sets)
+    want = {(a, b, int((a, b) in links), counts.get((a, b), 0)) for a, b in set(counts) | links}
+    pairs = recommend.candidates(related, tags, max_width=max_width)
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(want)
+    assert set(got) == want
+    if max_width == 32:
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\((source_video_id|a)#\d+L?, (candidate_video_id|b)", plan)
