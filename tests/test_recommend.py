@@ -207,3 +207,15 @@ def test_candidates_hold_every_partner(spark, monkeypatch, seed, max_width, bloc
     if max_width == 32:
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"hashpartitioning\((source_video_id|a)#\d+L?, (candidate_video_id|b)", plan)
+
+
+@pytest.mark.parametrize("max_width, block", [(32, 256), (7, 5)])
+def test_common_tag_pairs_hold_every_pair(spark, monkeypatch, max_width, block):
+    monkeypatch.setattr(recommend, "BLOCK", block)
+    sets, _ = _catalogue(4)
+    tags = spark.createDataFrame(
+        [(v, t) for v, ts in sets.items() for t in sorted(ts)], "video_id string, tag string"
+    )
+    want = sorted((a, b, n) for (a, b), n in _expected_pairs(sets).items())
+    assert max(sum(a == v for a, _, _ in want) for v in sets) > recommend.MAX_RECOMMENDATIONS
+    assert sorted(map(tuple, recommend.common_tag_pairs(tags, max_width=max_width).collect())) == want
